@@ -1,0 +1,3 @@
+"""Price-bar analytics as Spark DataFrame operators."""
+
+__version__ = "0.1.0"

@@ -90,6 +90,19 @@ def with_price_index(
     )
 
 
+def with_running_sum(df: DataFrame, column: str = "volume", name: str | None = None, **series) -> DataFrame:
+    """Sum from the start of the series; a missing value stays missing on its own row."""
+    require_columns(df, [column])
+    return over_series(
+        df,
+        lambda rows, w: rows.withColumn("_sum", F.sum("_source").over(w.running)).withColumn(
+            name or f"running_{column}", F.when(F.col("_source").isNotNull(), F.col("_sum"))
+        ),
+        carry={"_source": (F.col(column), "sum")},
+        **series,
+    )
+
+
 def with_gap_seconds(
     df: DataFrame,
     *,

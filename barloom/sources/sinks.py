@@ -6,7 +6,7 @@ import os
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from barloom.functions.timegrid import session_of
 from barloom.operators.rollup import stack_frames
@@ -36,27 +36,54 @@ def write_long_csv(stacked: DataFrame, path: str) -> None:
 
 
 def write_bars(
-    stacked: DataFrame, path: str, *, ts: str = TIMESTAMP, mode: str = "overwrite"
+    stacked: DataFrame,
+    path: str,
+    *,
+    ts: str = TIMESTAMP,
+    mode: str = "overwrite",
+    files_per_session: int = 8,
 ) -> None:
     """A long bar table as Parquet by timeframe and session, for later pruned reads.
 
     Rows are gathered by directory first, so that a task does not hold a file
-    open for every session; the symbol spreads a session over several tasks.
+    open for every session; a hash of the time spreads a session over files.
     """
     dated = stacked.withColumn(SESSION, session_of(ts))
+    file_of = F.pmod(F.xxhash64(ts), F.lit(files_per_session))
     (
-        dated.repartition(TIMEFRAME, SESSION, F.pmod(F.xxhash64(ts), F.lit(8)))
+        dated.repartition(TIMEFRAME, SESSION, file_of)
         .write.mode(mode)
         .partitionBy(TIMEFRAME, SESSION)
         .parquet(path)
     )
 
 
+def store_frames(frames: Mapping[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """Write each frame as Parquet and return the stored ones.
+
+    Cuts the lineage before several tables are made from a frame.
+    """
+    stored = {}
+    for name, df in frames.items():
+        target = f"{path.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(target)
+        stored[name] = df.sparkSession.read.parquet(target)
+    return stored
+
+
 def read_stored_bars(
     spark: SparkSession, path: str, timeframes: Sequence[str] | None = None
 ) -> DataFrame:
     """Bars written by :func:`write_bars`; naming timeframes prunes directories."""
-    stored = spark.read.parquet(path)
+    # Directory names such as 1d would be guessed to be numbers.
+    named = {TIMEFRAME: T.StringType(), SESSION: T.DateType()}
+    schema = T.StructType(
+        [
+            T.StructField(f.name, named.get(f.name, f.dataType))
+            for f in spark.read.parquet(path).schema.fields
+        ]
+    )
+    stored = spark.read.schema(schema).parquet(path)
     return stored if timeframes is None else stored.where(F.col(TIMEFRAME).isin(*timeframes))
 
 

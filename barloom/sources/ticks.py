@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from barloom.schema import BAR_SCHEMA, OHLCV, SYMBOL, TIMESTAMP, conform
 
@@ -39,15 +39,22 @@ def as_ticks(
     )
 
 
-def read_bars(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFrame:
+def read_bars(
+    spark: SparkSession,
+    *paths: str,
+    fmt: str = "parquet",
+    partitions: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
     """Bars from one or many paths, with the declared types.
 
     Several paths form a bag union, e.g. one directory per day.  CSV and JSON
-    are read with the declared schema, so nothing is inferred.
+    are read with the declared schema, so nothing is inferred; ``partitions``
+    declares columns held in directory names.
     """
     reader = spark.read
+    if fmt in ("csv", "json"):
+        held = [T.StructField(n, t) for n, t in (partitions or {}).items()]
+        reader = reader.schema(T.StructType([*BAR_SCHEMA.fields, *held]))
     if fmt == "csv":
-        reader = reader.option("header", True).schema(BAR_SCHEMA)
-    elif fmt == "json":
-        reader = reader.schema(BAR_SCHEMA)
+        reader = reader.option("header", True)
     return conform(reader.format(fmt).load(list(paths)))
