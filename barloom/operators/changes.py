@@ -137,7 +137,7 @@ def _average_and_returns(window: int) -> Indicator:
             },
         ]
 
-    return Indicator(stages, lookback=window)
+    return Indicator(stages, outputs=("returns", "ma_returns"), lookback=window)
 
 
 def smoothness(df: DataFrame, window: int = 30, *, keys: Sequence[str] = KEYS, **series) -> DataFrame:

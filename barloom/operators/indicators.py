@@ -35,6 +35,7 @@ Stages = list[dict[str, Column]]
 @dataclass(frozen=True)
 class Indicator:
     stages: Callable[[SeriesWindow], Stages]
+    outputs: tuple[str, ...]
     lookback: int = 0
     carry: Mapping[str, tuple[Column, str]] = field(default_factory=dict)
     needs: tuple[str, ...] = ("close",)
@@ -47,12 +48,15 @@ def add_indicators(
     ts: str = TIMESTAMP,
     block_days: int | None = DEFAULT_BLOCK_DAYS,
 ) -> DataFrame:
-    """Append the columns of several indicators in one pass over each series."""
+    """Append the columns of several indicators in one pass over each series.
+
+    New columns follow the frame's own, in the order of the indicators.
+    """
     require_columns(df, [c for i in indicators for c in i.needs])
     carry: dict[str, tuple[Column, str]] = {}
     for i in indicators:
         carry.update(i.carry)
-    return over_series(
+    out = over_series(
         df,
         lambda rows, w: run_stages(rows, w, *[i.stages for i in indicators]),
         keys=keys,
@@ -61,6 +65,8 @@ def add_indicators(
         carry=carry,
         block_days=block_days,
     )
+    added = dict.fromkeys(c for i in indicators for c in i.outputs)
+    return out.select(*[c for c in df.columns if c not in added], *added)
 
 
 # --- definitions -----------------------------------------------------------
@@ -71,6 +77,7 @@ def moving_average_of(window: int = 30, column: str = "close", name: str | None
     out = name or f"ma_{window}"
     return Indicator(
         lambda w: [{out: F.avg(column).over(w.last(window))}],
+        outputs=(out,),
         lookback=window - 1,
         needs=(column,),
     )
@@ -88,6 +95,7 @@ def moving_median_of(window: int = 30, column: str = "close", name: str | None =
             {held: F.sort_array(F.collect_list(column).over(w.last(window)))},
             {out: (lower + upper) / F.lit(2.0)},
         ],
+        outputs=(out,),
         lookback=window - 1,
         needs=(column,),
     )
@@ -113,6 +121,7 @@ def vwap_of(name: str = "vwap") -> Indicator:
 
     return Indicator(
         stages,
+        outputs=(name,),
         carry={
             "_price_volume": (price_volume, "sum"),
             "_volume": (F.col("volume"), "sum"),
@@ -142,7 +151,9 @@ def bollinger_of(
             },
         ]
 
-    return Indicator(stages, lookback=window - 1)
+    return Indicator(
+        stages, outputs=(middle, "bb_upper", "bb_lower"), lookback=window - 1
+    )
 
 
 def rsi_of(window: int = 14, name: str = "rsi") -> Indicator:
@@ -169,7 +180,7 @@ def rsi_of(window: int = 14, name: str = "rsi") -> Indicator:
             },
         ]
 
-    return Indicator(stages, lookback=window)
+    return Indicator(stages, outputs=(name,), lookback=window)
 
 
 def rolling_volatility_of(
@@ -191,7 +202,7 @@ def rolling_volatility_of(
             {name: F.when(F.col("_known") == window, F.col("_deviation"))},
         ]
 
-    return Indicator(stages, lookback=window)
+    return Indicator(stages, outputs=(returns, name), lookback=window)
 
 
 # --- operators -------------------------------------------------------------
@@ -260,6 +271,7 @@ STANDARD_WINDOWS = {
 }
 COMPACT_RSI_WINDOW = 14
 COMPACT_NUM_STD = 2.0
+COMPACT_COLUMNS = ("ma", "median", "vwap", "bb_upper", "bb_lower", "rsi")
 
 
 def _block_for(timeframe: str, series: dict) -> dict:
@@ -298,7 +310,7 @@ def compact_metrics(df: DataFrame, window: int, **series) -> DataFrame:
 
     Relative strength keeps 14 rows and the bands two deviations.
     """
-    return add_indicators(
+    out = add_indicators(
         df,
         bollinger_of(window, COMPACT_NUM_STD, middle="ma"),
         moving_median_of(window, name="median"),
@@ -306,3 +318,4 @@ def compact_metrics(df: DataFrame, window: int, **series) -> DataFrame:
         rsi_of(COMPACT_RSI_WINDOW),
         **series,
     )
+    return out.select(*[c for c in df.columns if c not in COMPACT_COLUMNS], *COMPACT_COLUMNS)

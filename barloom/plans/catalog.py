@@ -39,15 +39,19 @@ def query(function: Query) -> Query:
     return function
 
 
+# A half, and a little for what summation error may take from a tie.
+HALF = 0.5001
+
+
 def rounded(df: DataFrame) -> DataFrame:
-    """Round doubles half up to six places, so that another summation order gives equal values.
+    """Round doubles to six places, so that another summation order gives equal values.
 
     Spelled out in plain arithmetic, because engines round ties differently.
     """
     million = F.lit(1_000_000.0)
     return df.select(
         *[
-            (F.floor(F.col(c) * million + F.lit(0.5)) / million).alias(c)
+            (F.floor(F.col(c) * million + F.lit(HALF)) / million).alias(c)
             if t == "double"
             else F.col(c)
             for c, t in df.dtypes

@@ -13,6 +13,7 @@ INTERVALS = {
     "30m": "30 minutes", "1h": "1 hour", "1d": "1 day",
 }
 OHLCV = ("open", "high", "low", "close", "volume")
+HALF = 0.5001
 WEEKLY = "date_trunc('week', \"timestamp\")"
 
 TICKS = """ticks AS (
@@ -33,8 +34,8 @@ ORDER_TICKS = """ticks AS (
 
 
 def r(expression: str, name: str | None = None) -> str:
-    """Round half up to six places, by the same arithmetic as the queries."""
-    rounded = f"(floor(({expression}) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE)"
+    """Round to six places by the same arithmetic as the queries."""
+    rounded = f"(floor(({expression}) * 1000000.0::DOUBLE + {HALF}::DOUBLE) / 1000000.0::DOUBLE)"
     return f"{rounded} AS {name}" if name else rounded
 
 
