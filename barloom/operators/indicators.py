@@ -101,30 +101,41 @@ def moving_median_of(window: int = 30, column: str = "close", name: str | None =
     )
 
 
-def vwap_of(name: str = "vwap") -> Indicator:
-    """Running volume-weighted typical price; null while no volume was traded."""
-    price_volume = typical_price() * F.col("volume")
+def vwap_of(
+    name: str = "vwap",
+    *,
+    turnover: Column | None = None,
+    traded: Column | None = None,
+    totals: tuple[str, str] | None = None,
+) -> Indicator:
+    """Running volume-weighted typical price; null while no volume was traded.
+
+    ``turnover`` and ``traded`` replace what a row adds to the two running sums;
+    ``totals`` names columns that keep the sums.
+    """
+    summed = totals or ("_turnover", "_traded")
 
     def stages(w: SeriesWindow) -> Stages:
         return [
             {
-                "_turnover": F.sum("_price_volume").over(w.running),
-                "_traded": F.sum("_volume").over(w.running),
+                summed[0]: F.sum("_price_volume").over(w.running),
+                summed[1]: F.sum("_volume").over(w.running),
             },
             {
                 name: F.when(
                     F.col("_price_volume").isNotNull(),
-                    F.try_divide(F.col("_turnover"), F.col("_traded")),
+                    F.try_divide(F.col(summed[0]), F.col(summed[1])),
                 )
             },
         ]
 
+    own_turnover = typical_price() * F.col("volume")
     return Indicator(
         stages,
-        outputs=(name,),
+        outputs=(name, *(totals or ())),
         carry={
-            "_price_volume": (price_volume, "sum"),
-            "_volume": (F.col("volume"), "sum"),
+            "_price_volume": (own_turnover if turnover is None else turnover, "sum"),
+            "_volume": (F.col("volume") if traded is None else traded, "sum"),
         },
         needs=("high", "low", "close", "volume"),
     )
@@ -278,6 +289,17 @@ def _block_for(timeframe: str, series: dict) -> dict:
     return {"block_days": BLOCK_DAYS.get(timeframe, DEFAULT_BLOCK_DAYS), **series}
 
 
+def standard_set(timeframe: str, windows: WindowSet | None = None, **vwap_options) -> list[Indicator]:
+    w = windows or STANDARD_WINDOWS.get(timeframe, WindowSet(1, 1, 1, 1))
+    return [
+        moving_average_of(w.ma),
+        moving_median_of(w.median),
+        vwap_of(**vwap_options),
+        bollinger_of(w.bands),
+        rsi_of(w.rsi),
+    ]
+
+
 def standard_metrics(
     df: DataFrame, timeframe: str, windows: WindowSet | None = None, **series
 ) -> DataFrame:
@@ -286,15 +308,8 @@ def standard_metrics(
     Adds ``ma_{w}``, ``median_{w}``, ``vwap``, ``bb_middle``, ``bb_upper``,
     ``bb_lower`` and ``rsi``.  Timeframes outside the table use windows of one.
     """
-    w = windows or STANDARD_WINDOWS.get(timeframe, WindowSet(1, 1, 1, 1))
     return add_indicators(
-        df,
-        moving_average_of(w.ma),
-        moving_median_of(w.median),
-        vwap_of(),
-        bollinger_of(w.bands),
-        rsi_of(w.rsi),
-        **_block_for(timeframe, series),
+        df, *standard_set(timeframe, windows), **_block_for(timeframe, series)
     )
 
 

@@ -40,14 +40,18 @@ def spread_join(
     keys: Sequence[str],
     *,
     spread: str,
+    few: bool = False,
     salts: int = _SALTS,
 ) -> DataFrame:
     """Inner join of many rows per key with few.
 
-    When the small side passes Spark's broadcast size check there is no shuffle.
-    Beyond that both sides shuffle by key and salt, so one hot key is spread over
-    ``salts`` tasks; only the small side is repeated.
+    ``few`` says that the number of keys was checked (:func:`has_few_series`), so
+    the small side may be broadcast and the large one is not shuffled.  Otherwise
+    both sides shuffle by key and salt: one hot key is spread over ``salts``
+    tasks, and only the small side is repeated.
     """
+    if few:
+        return large.join(F.broadcast(per_key), [*keys], "inner")
     salted = large.withColumn("_salt", salt_of(spread, salts))
     copies = per_key.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -55,6 +59,15 @@ def spread_join(
     return salted.join(copies, [*keys, "_salt"], "inner").drop("_salt")
 
 
+# A few rows of some 100 bytes for each of these stay far below a broadcast's limits.
+FEW_SERIES = 20_000
+
+
+def has_few_series(df: DataFrame, keys: Sequence[str], limit: int = FEW_SERIES) -> bool:
+    """Count the series, up to the limit.  Runs a job: ask a small table, such as daily bars."""
+    return df.select(*keys).distinct().limit(limit + 1).count() <= limit
+
+
 def _binned(long: DataFrame, keys: Sequence[str], value: str, spread: str) -> DataFrame:
     known = long.where(F.col(value).isNotNull() & ~F.isnan(value))
     return known.select(
@@ -85,11 +98,12 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     spread: str,
+    few: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, one column each.
 
     ``spread`` names a column that varies within a key (the timestamp); it only
-    steers where rows go.
+    steers where rows go.  ``few`` as in :func:`spread_join`.
     """
     binned = _binned(long, keys, value, spread)
     position = {
@@ -112,7 +126,7 @@ def exact_quantiles(
     )
     bin_keys = [*keys, _BIN]
     candidates = (
-        spread_join(binned, wanted, bin_keys, spread="_spread")
+        spread_join(binned, wanted, bin_keys, spread="_spread", few=few)
         .groupBy(*bin_keys, "_start", "_total", "_ranks", "_value")
         .agg(F.count(F.lit(1)).alias("_copies"))
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -85,59 +86,76 @@ def roll_up(
     return drop_null_bars(bars)
 
 
-def roll_up_many(
-    df: DataFrame,
-    timeframes: Sequence[str] = DEFAULT_TIMEFRAMES,
-    *,
-    keys: Sequence[str] = KEYS,
-    ts: str = TIMESTAMP,
-    tiebreak: Sequence[str] = (),
+def _common_base(timeframes: Sequence[str]) -> int:
+    """Seconds of the coarsest bucket that nests in all of them, week starts included."""
+    edges = [e for tf in timeframes for e in (step_seconds(tf), bucket_offset(tf)) if e]
+    return gcd(*edges)
+
+
+def _coarser(
+    bars: DataFrame, timeframe: str, keys: Sequence[str], ts: str
 ) -> DataFrame:
-    """Bars of several timeframes in long form, with a ``timeframe`` column.
+    """Roll bars up once more.
 
-    One scan and one shuffle: every input row is offered to one bucket per
-    timeframe and combined at once on the map side, so only bars are shuffled.
+    The bucket is plain arithmetic: ``window`` would add a filter that Spark
+    pushes below the finer shuffle, which could then no longer be shared.
     """
-    require_columns(df, [*keys, ts, *OHLCV, *tiebreak])
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(tf).alias(TIMEFRAME),
-                F.lit(step_seconds(tf)).alias("_size"),
-                F.lit(bucket_offset(tf)).alias("_offset"),
-            )
-            for tf in timeframes
-        ]
-    )
-    offered = df.select(
-        *keys,
-        *OHLCV,
-        order_key(df, ts, tiebreak).alias("_order"),
-        epoch_seconds(ts).alias("_seconds"),
-        F.inline(targets),
+    size, offset = F.lit(step_seconds(timeframe)), F.lit(bucket_offset(timeframe))
+    start = bucket_time(bucket_number(epoch_seconds(ts), size, offset), size, offset)
+    return (
+        bars.withColumn("_start", start)
+        .groupBy(*keys, "_start")
+        .agg(*bucket_aggregates(F.col(ts)))
+        .withColumnRenamed("_start", ts)
     )
-    bars = offered.groupBy(
-        *keys,
-        TIMEFRAME,
-        "_size",
-        "_offset",
-        bucket_number(F.col("_seconds"), F.col("_size"), F.col("_offset")).alias("_bucket"),
-    ).agg(*bucket_aggregates(F.col("_order")))
-    start = bucket_time(F.col("_bucket"), F.col("_size"), F.col("_offset"))
-    return drop_null_bars(bars.select(*keys, TIMEFRAME, start.alias(ts), *OHLCV))
 
 
 def roll_up_frames(
     df: DataFrame,
     timeframes: Sequence[str] = DEFAULT_TIMEFRAMES,
-    **options,
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    tiebreak: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """One independent frame per timeframe, each a single roll-up of the input.
-
-    Use :func:`roll_up_many` and a stored table (see :func:`split_frames`) when
-    several of them are needed from one large input.
+    """Bars of several timeframes that are used together, one frame each.
+
+    The input is scanned and shuffled once, into bars of the coarsest length
+    that nests in all timeframes (usually the finest of them).  Every other
+    timeframe aggregates the coarsest bars it can.  A query over several of the
+    frames shares the finer shuffles.  All five aggregates decompose, and bars
+    with null prices are dropped only at the end, so the rows equal those of
+    :func:`roll_up`.
     """
-    return {tf: roll_up(df, tf, **options) for tf in timeframes}
+    require_columns(df, [*keys, ts, *OHLCV, *tiebreak])
+    base = _common_base(timeframes)
+    planned = {
+        f"{base}s": df.groupBy(
+            *keys, F.window(ts, f"{base} seconds")["start"].alias(ts)
+        ).agg(*bucket_aggregates(order_key(df, ts, tiebreak)))
+    }
+    wanted: dict[str, DataFrame] = {}
+    for tf in sorted(set(timeframes), key=step_seconds):
+        size, offset = step_seconds(tf), bucket_offset(tf)
+        if size == base:
+            wanted[tf] = planned[f"{base}s"]
+            continue
+        nested = [
+            p
+            for p in planned
+            if size % step_seconds(p) == 0
+            and (offset - bucket_offset(p)) % step_seconds(p) == 0
+        ]
+        parent = max(nested, key=step_seconds)
+        wanted[tf] = planned[tf] = _coarser(planned[parent], tf, keys, ts)
+    return {tf: drop_null_bars(wanted[tf]) for tf in timeframes}
+
+
+def roll_up_many(
+    df: DataFrame, timeframes: Sequence[str] = DEFAULT_TIMEFRAMES, **options
+) -> DataFrame:
+    """:func:`roll_up_frames` in long form, with a ``timeframe`` column."""
+    return stack_frames(roll_up_frames(df, timeframes, **options))
 
 
 def split_frames(stacked: DataFrame, timeframes: Sequence[str]) -> dict[str, DataFrame]:

@@ -26,6 +26,8 @@ from barloom.schema import (
 BARS_PER_YEAR = 252 * 390
 DESCRIBE_QUANTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 HISTOGRAM_BINS = 30
+# Enough pairs to share a row's cost, few enough for generated code.
+_PAIRS_PER_ROW = 8
 
 
 def bar_stats(df: DataFrame, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP) -> DataFrame:
@@ -68,6 +70,7 @@ def describe(
     *,
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
+    few: bool = False,
 ) -> DataFrame:
     """Count, null count, mean, std, min, exact quartiles and max of each column."""
     long = unpivoted(df, columns, keys=keys, ts=ts)
@@ -81,16 +84,16 @@ def describe(
         F.max("value").alias("max"),
     )
     quartiles = exact_quantiles(
-        long, DESCRIBE_QUANTILES, keys=by, value="value", spread=ts
+        long, DESCRIBE_QUANTILES, keys=by, value="value", spread=ts, few=few
     )
     return moments.join(quartiles, by, "left")
 
 
 def describe_indicators(
-    df: DataFrame, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
+    df: DataFrame, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP, few: bool = False
 ) -> DataFrame:
     """:func:`describe` on every indicator column present."""
-    return describe(df, indicator_columns(df, keys), keys=keys, ts=ts)
+    return describe(df, indicator_columns(df, keys), keys=keys, ts=ts, few=few)
 
 
 def risk_metrics(
@@ -132,41 +135,60 @@ def correlation_matrix(
     """Pearson correlation of every column pair over rows where both are known.
 
     Long form ``(col_a, col_b, r)``; a constant column gives null.  Every row
-    meets all its pairs before the shuffle and is combined there, so only one
-    partial row per pair and task is sent.
+    is offered to its pairs before the shuffle, several pairs to a row, and
+    combined there, so only one partial row per group of pairs and task is sent.
     """
     names = list(columns) if columns is not None else numeric_columns(df, exclude=keys)
     pairs = [(c, c) for c in names] + list(combinations(names, 2))
+    width = min(_PAIRS_PER_ROW, len(pairs))
+    groups = [pairs[i : i + width] for i in range(0, len(pairs), width)]
 
     def side(mine: str, other: str) -> Column:
         return F.when(F.col(other).isNotNull(), F.col(mine).cast("double"))
 
-    offered = df.select(
+    def offered(number: int, group: list[tuple[str, str]]) -> Column:
+        fields = [F.lit(number).alias("_group")]
+        for j in range(width):
+            a, b = group[j] if j < len(group) else (None, None)
+            nothing = F.lit(None).cast("double")
+            fields.append((side(a, b) if a else nothing).alias(f"_x{j}"))
+            fields.append((side(b, a) if a else nothing).alias(f"_y{j}"))
+        return F.struct(*fields)
+
+    rows = df.select(*keys, F.inline(F.array(*[offered(i, g) for i, g in enumerate(groups)])))
+    moments = rows.groupBy(*keys, "_group").agg(
+        *[
+            m
+            for j in range(width)
+            for m in (
+                F.covar_samp(f"_x{j}", f"_y{j}").alias(f"_cov{j}"),
+                F.stddev_samp(f"_x{j}").alias(f"_sx{j}"),
+                F.stddev_samp(f"_y{j}").alias(f"_sy{j}"),
+            )
+        ]
+    )
+
+    def named(j: int, which: int) -> Column:
+        known = [F.lit(g[j][which] if j < len(g) else None) for g in groups]
+        return F.get(F.array(*known), F.col("_group"))
+
+    def correlation(j: int) -> Column:
+        spread = F.nullif(F.col(f"_sx{j}") * F.col(f"_sy{j}"), F.lit(0.0))
+        return F.col(f"_cov{j}") / spread
+
+    half = moments.select(
         *keys,
         F.inline(
             F.array(
                 *[
                     F.struct(
-                        F.lit(a).alias("_a"),
-                        F.lit(b).alias("_b"),
-                        side(a, b).alias("_x"),
-                        side(b, a).alias("_y"),
+                        named(j, 0).alias("_a"), named(j, 1).alias("_b"), correlation(j).alias("r")
                     )
-                    for a, b in pairs
+                    for j in range(width)
                 ]
             )
         ),
-    )
-    spread = F.nullif(F.col("_sx") * F.col("_sy"), F.lit(0.0))
-    half = (
-        offered.groupBy(*keys, "_a", "_b")
-        .agg(
-            F.covar_samp("_x", "_y").alias("_cov"),
-            F.stddev_samp("_x").alias("_sx"),
-            F.stddev_samp("_y").alias("_sy"),
-        )
-        .select(*keys, "_a", "_b", (F.col("_cov") / spread).alias("r"))
-    )
+    ).where(F.col("_a").isNotNull())
     both = F.array(
         F.struct(F.col("_a").alias("col_a"), F.col("_b").alias("col_b")),
         F.struct(F.col("_b").alias("col_a"), F.col("_a").alias("col_b")),
@@ -191,6 +213,7 @@ def histogram(
     bins: int = HISTOGRAM_BINS,
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
+    few: bool = False,
 ) -> DataFrame:
     """Equal-width bins between each symbol's extremes; the last one is closed.
 
@@ -202,7 +225,7 @@ def histogram(
     ranges = known.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi"))
     share = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     counts = (
-        spread_join(known, ranges, keys, spread=ts)
+        spread_join(known, ranges, keys, spread=ts, few=few)
         .withColumn(
             "bin",
             F.least(F.floor(share * F.lit(float(bins))), F.lit(bins - 1)).cast("int"),
@@ -221,13 +244,20 @@ def histogram(
 
 
 def distribution_summary(
-    df: DataFrame, column: str = "returns", *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
+    df: DataFrame,
+    column: str = "returns",
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    few: bool = False,
 ) -> DataFrame:
     """Count, mean and exact median: the marks drawn over a histogram."""
     means = df.groupBy(*keys).agg(
         F.count(column).alias("n_values"), F.avg(column).alias("mean")
     )
-    medians = exact_quantiles(df, {"median": 0.5}, keys=keys, value=column, spread=ts)
+    medians = exact_quantiles(
+        df, {"median": 0.5}, keys=keys, value=column, spread=ts, few=few
+    )
     return means.join(medians, [*keys], "left")
 
 

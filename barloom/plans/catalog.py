@@ -23,6 +23,7 @@ from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform
 from barloom.sources import calendar, sinks
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
+from barloom.streaming.metrics import metrics_handler, read_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -649,3 +650,17 @@ def streaming_bars(spark, sf_dir):
     folder = sinks.shared_folder(spark, "stream")
     streaming.write_available(closed, f"{folder}/bars", f"{folder}/state")
     return spark.read.parquet(f"{folder}/bars")
+
+
+@query
+def streaming_metrics(spark, sf_dir):
+    """Standard metrics of streamed bars, continued from batch to batch."""
+    schema = table(spark, sf_dir, "events").schema
+    events = streaming.read_file_stream(spark, sf_dir, schema, pattern="events.parquet")
+    closed = streaming.stream_bars(
+        ticks_of(events), "5m", lateness=STREAM_LATENESS, tiebreak=TICK_TIES
+    )
+    folder = sinks.shared_folder(spark, "stream")
+    handler = metrics_handler(folder, "5m", **INTRADAY)
+    streaming.write_batches(closed, handler, f"{folder}/state")
+    return rounded(read_metrics(spark, folder))

@@ -640,7 +640,8 @@ SELECT * FROM base JOIN means USING (symbol)"""
 
     sql["csv_export"] = sql["ohlc_multi"]
     sql["report_export"] = sql["completeness"]
-    sql["streaming_bars"] = with_bars("5m", f"""{every_bar}
-WHERE "timestamp" + INTERVAL '5 minutes'
-      <= (SELECT max("timestamp") FROM ticks) - INTERVAL '10 minutes'""")
+    closed = """WHERE "timestamp" + INTERVAL '5 minutes'
+      <= (SELECT max("timestamp") FROM ticks) - INTERVAL '10 minutes'"""
+    sql["streaming_bars"] = with_bars("5m", f"{every_bar} {closed}")
+    sql["streaming_metrics"] = f"{sql['metrics_standard']} {closed}"
     return sql

@@ -19,6 +19,7 @@ from barloom.operators.indicators import (
     rolling_volatility,
     standard_metrics_by_timeframe,
 )
+from barloom.operators.ranks import has_few_series
 from barloom.operators.rollup import (
     roll_up,
     roll_up_frames,
@@ -98,7 +99,11 @@ def check_tables(
 
 
 def report_tables(
-    frames: Mapping[str, DataFrame], *, keys: Sequence[str] = KEYS, **series
+    frames: Mapping[str, DataFrame],
+    *,
+    keys: Sequence[str] = KEYS,
+    few: bool = False,
+    **series,
 ) -> dict[str, DataFrame]:
     """What the text reports and the dashboard print, as tables."""
     minute, five, thirty = frames["1m"], frames["5m"], frames["30m"]
@@ -109,9 +114,9 @@ def report_tables(
             {tf: stats.bar_stats(df, keys=keys) for tf, df in bars.items()}
         ),
         "bar_counts": stats.bar_ratio(stack_frames(bars), list(frames), keys=keys),
-        "price_statistics": stats.describe(minute, OHLCV[:4], keys=keys),
-        "volume_statistics": stats.describe(minute, ["volume"], keys=keys),
-        "returns_statistics": stats.describe(returns, ["returns"], keys=keys),
+        "price_statistics": stats.describe(minute, OHLCV[:4], keys=keys, few=few),
+        "volume_statistics": stats.describe(minute, ["volume"], keys=keys, few=few),
+        "returns_statistics": stats.describe(returns, ["returns"], keys=keys, few=few),
         "risk": stats.risk_metrics(bars["1m"], keys=keys, **series),
         "completeness": quality.completeness(minute, "1m", keys=keys),
         "indicator_analysis": stats.stack_reports(
@@ -120,7 +125,7 @@ def report_tables(
                 "30m": _plain_names(stats.indicator_summary(thirty, keys=keys)),
             }
         ),
-        "indicator_statistics": stats.describe_indicators(five, keys=keys),
+        "indicator_statistics": stats.describe_indicators(five, keys=keys, few=few),
         "price_levels": shaping.scaled_first_rows(five, keys=keys),
         "dashboard": stats.quick_stats(bars["1m"], five, keys=keys, **series),
     }
@@ -136,7 +141,11 @@ def _plain_names(df: DataFrame) -> DataFrame:
 
 
 def chart_tables(
-    frames: Mapping[str, DataFrame], *, keys: Sequence[str] = KEYS, **series
+    frames: Mapping[str, DataFrame],
+    *,
+    keys: Sequence[str] = KEYS,
+    few: bool = False,
+    **series,
 ) -> dict[str, DataFrame]:
     """The data behind every chart, reduced in Spark as far as the chart allows."""
     minute = frames["1m"].select(*keys, TIMESTAMP, *OHLCV)
@@ -144,8 +153,8 @@ def chart_tables(
     points = stats.normal_points(moves, keys=keys)
     tables = {
         "returns": moves.select(*keys, TIMESTAMP, "returns", "volatility"),
-        "returns_histogram": stats.histogram(moves, keys=keys),
-        "returns_marks": stats.distribution_summary(moves, keys=keys),
+        "returns_histogram": stats.histogram(moves, keys=keys, few=few),
+        "returns_marks": stats.distribution_summary(moves, keys=keys, few=few),
         "normal_points": points,
         "normal_line": stats.normal_fit(points, keys=keys),
         "correlation_5m": stats.correlation_matrix(frames["5m"], keys=keys),
@@ -174,19 +183,23 @@ def run_bars(
     """Frames with metrics, and the checks, reports and charts made from them.
 
     With a ``store`` the bars and then the metrics are written once, and the
-    tables read them back with only the columns they need.
+    tables read them back with only the columns they need.  The series are then
+    counted too, and small per-series tables broadcast if there are few.
     """
     bars_at = f"{store.rstrip('/')}/bars" if store else None
     frames = build_frames(source, tiebreak=tiebreak, keys=keys, ts=ts, store=bars_at)
     add = add_compact_metrics if compact else add_standard_metrics
     enriched = add(frames, keys=keys, ts=ts, **series)
+    few = False
     if store:
         enriched = store_frames(enriched, f"{store.rstrip('/')}/metrics")
+        # Daily bars are a few hundred rows per series and year.
+        few = has_few_series(enriched["1d"], keys)
     return BarRun(
         frames=enriched,
         checks=check_tables(enriched, keys=keys),
-        reports=report_tables(enriched, keys=keys, **series),
-        charts=chart_tables(enriched, keys=keys, **series),
+        reports=report_tables(enriched, keys=keys, few=few, **series),
+        charts=chart_tables(enriched, keys=keys, few=few, **series),
     )
 
 

@@ -20,10 +20,18 @@ def logical(df) -> str:
 
 
 def test_roll_up_shuffles_once_and_hashes(spark):
-    for df in (catalog.QUERIES["ohlc_5m"](spark, SF), catalog.QUERIES["ohlc_multi"](spark, SF)):
-        text = plan(df)
-        assert text.count("Exchange hashpartitioning") == 1
-        assert "SortAggregate" not in text and "partial_min_by" in text
+    text = plan(catalog.QUERIES["ohlc_5m"](spark, SF))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in text and "partial_min_by" in text
+
+
+@pytest.mark.parametrize("name", ["ohlc_multi", "ohlc_multi_custom", "bar_stats", "ratio"])
+def test_all_timeframes_share_one_scan(spark, name):
+    df = catalog.QUERIES[name](spark, SF)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "SortAggregate" not in final
 
 
 def test_time_filter_reaches_the_scan(spark):
@@ -76,7 +84,7 @@ FORBIDDEN = (
 
 @pytest.mark.parametrize(
     "name",
-    [n for n in catalog.QUERIES if n not in ("csv_export", "report_export", "streaming_bars", "stored_run")],
+    [n for n in catalog.QUERIES if n not in ("csv_export", "report_export", "streaming_bars", "streaming_metrics", "stored_run")],
 )
 def test_no_python_no_cross_join_no_single_task(spark, name):
     text = plan(catalog.QUERIES[name](spark, SF))

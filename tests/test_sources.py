@@ -6,11 +6,12 @@ import pytest
 from conftest import START, collect, minute_rows
 from pyspark.sql import types as T
 
-from barloom.operators import rollup
+from barloom.operators import indicators, rollup
 from barloom.plans import run
 from barloom.sources import sinks
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
+from barloom.streaming.metrics import metrics_handler, read_metrics
 
 
 @pytest.fixture
@@ -117,6 +118,25 @@ class TestStream:
         ]
         assert collect(spark.read.parquet(out)) == batch
 
+    def test_metrics_continue_over_batches(self, spark, two_days, tmp_path):
+        source, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
+        edges = [START + timedelta(minutes=m) for m in (0, 33, 61, 150, 1500, 10_000)]
+        for low, high in zip(edges, edges[1:]):
+            part = two_days.where((two_days.timestamp >= low) & (two_days.timestamp < high))
+            part.coalesce(1).write.mode("append").parquet(source)
+            streaming.write_batches(
+                self.stream(spark, source, two_days.schema), metrics_handler(store, "5m"), state
+            )
+        got = collect(read_metrics(spark, store))
+        want = collect(indicators.standard_metrics(rollup.roll_up(two_days, "5m"), "5m"))
+        last = START + timedelta(days=1, minutes=389)
+        want = [r for r in want if r["timestamp"] + timedelta(minutes=10) <= last]
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            for name in ("symbol", "timestamp"):
+                assert a.pop(name) == b.pop(name)
+            assert a == pytest.approx(b)
+
     def test_batches_reach_a_handler(self, spark, two_days, tmp_path):
         source = str(tmp_path / "in")
         two_days.write.parquet(source)

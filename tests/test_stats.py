@@ -40,9 +40,10 @@ def by_symbol(df):
     return held
 
 
-def test_quantiles_are_exact(values):
+@pytest.mark.parametrize("few", [False, True])
+def test_quantiles_are_exact(values, few):
     probabilities = {"a": 0.0, "b": 0.013, "c": 0.25, "d": 0.5, "e": 0.9, "f": 1.0}
-    out = ranks.exact_quantiles(values, probabilities, keys=["symbol"], value="x", spread="i")
+    out = ranks.exact_quantiles(values, probabilities, keys=["symbol"], value="x", spread="i", few=few)
     got = {r["symbol"]: r for r in out.collect()}
     held = by_symbol(values)
     assert got.keys() == held.keys()
@@ -51,6 +52,11 @@ def test_quantiles_are_exact(values):
             assert got[symbol][name] == pytest.approx(np.quantile(xs, p), rel=1e-12), (symbol, p)
 
 
+def test_series_are_counted_up_to_the_limit(values):
+    assert ranks.has_few_series(values, ["symbol"], 5)
+    assert not ranks.has_few_series(values, ["symbol"], 4)
+
+
 def test_order_bin_never_decreases(values):
     rows = values.where("x is not null").withColumn("bin", ranks.order_bin(F.col("x")))
     bins = [r["bin"] for r in rows.orderBy("x").collect()]
@@ -110,9 +116,10 @@ def test_describe_counts_nulls(make_bars):
     assert (row["n"], row["null_count"]) == (8, 1)
 
 
-def test_histogram_matches_numpy(make_bars):
+@pytest.mark.parametrize("few", [False, True])
+def test_histogram_matches_numpy(make_bars, few):
     moves = changes.with_returns(make_bars(minute_rows("A") + sparse_rows("B")))
-    out = stats.histogram(moves)
+    out = stats.histogram(moves, few=few)
     for symbol in "AB":
         xs = [r["returns"] for r in moves.where(F.col("symbol") == symbol).collect() if r["returns"] is not None]
         counts, edges = np.histogram(xs, bins=30)
