@@ -91,11 +91,11 @@ def bar_rules() -> dict[str, Column]:
     }
 
 
-def polynomial(x: Column, coefficients: Sequence[float]) -> Column:
-    """Horner form; coefficients run from the highest power down."""
-    acc = F.lit(coefficients[0])
+def polynomial(x: str, coefficients: Sequence[float]) -> str:
+    """Horner form as SQL; coefficients run from the highest power down."""
+    acc = f"{coefficients[0]!r}D"
     for c in coefficients[1:]:
-        acc = acc * x + F.lit(c)
+        acc = f"({acc} * {x} + {c!r}D)"
     return acc
 
 
@@ -135,21 +135,22 @@ def with_normal_quantile(df: DataFrame, p: str, name: str) -> DataFrame:
     nested expression would outgrow generated code.
     """
 
-    def ratio(x: str, coefficients) -> Column:
-        return polynomial(F.col(x), coefficients[0]) / polynomial(F.col(x), coefficients[1])
+    def ratio(x: str, pair) -> str:
+        return f"{polynomial(x, pair[0])} / {polynomial(x, pair[1])}"
 
-    q, r = F.col("_q"), F.col("_r")
-    tail = F.when(q <= 0, F.col(p)).otherwise(F.lit(1.0) - F.col(p))
-    size = F.when(r <= 5.0, ratio("_near", NORMAL_NEAR)).otherwise(ratio("_far", NORMAL_FAR))
+    size = f"IF(_r <= 5.0D, {ratio('_near', NORMAL_NEAR)}, {ratio('_far', NORMAL_FAR)})"
     return (
-        df.withColumn("_q", F.col(p) - F.lit(0.5))
-        .withColumns({"_r": F.sqrt(-F.log(tail)), "_centre": F.lit(0.180625) - q * q})
-        .withColumns({"_near": r - F.lit(1.6), "_far": r - F.lit(5.0)})
-        .withColumn(
-            name,
-            F.when(F.abs(q) <= 0.425, q * ratio("_centre", NORMAL_CENTRE)).otherwise(
-                F.when(q < 0, -size).otherwise(size)
-            ),
+        df.selectExpr("*", f"`{p}` - 0.5D AS _q")
+        .selectExpr(
+            "*",
+            f"sqrt(-ln(IF(_q <= 0, `{p}`, 1.0D - `{p}`))) AS _r",
+            "0.180625D - _q * _q AS _centre",
+        )
+        .selectExpr("*", "_r - 1.6D AS _near", "_r - 5.0D AS _far")
+        .selectExpr(
+            "*",
+            f"CASE WHEN abs(_q) <= 0.425D THEN _q * {ratio('_centre', NORMAL_CENTRE)}"
+            f" WHEN _q < 0 THEN -({size}) ELSE {size} END AS `{name}`",
         )
         .drop("_q", "_r", "_centre", "_near", "_far")
     )

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from barloom.schema import quoted
+
 _UNIT_SECONDS = {"s": 1, "m": 60, "h": 3_600, "d": 86_400, "w": 604_800}
 _PATTERN = re.compile(r"^(\d+)([smhdw])$")
 
@@ -37,56 +39,63 @@ def session_of(ts: str | Column) -> Column:
     return F.to_date(ts)
 
 
-def day_number(ts: str | Column) -> Column:
-    """Days since the epoch of a naive timestamp."""
-    return F.unix_date(F.to_date(ts))
+def day_number_sql(ts: str) -> str:
+    """Days since the epoch of a naive timestamp column."""
+    return f"unix_date(to_date({quoted(ts)}))"
 
 
-def plus_days(ts: Column, days: Column | int) -> Column:
-    """Move a timestamp by whole days."""
-    return ts + F.make_dt_interval(F.lit(days) if isinstance(days, int) else days)
+def epoch_seconds_sql(ts: str) -> str:
+    """Whole seconds since the epoch of a naive timestamp column."""
+    t = quoted(ts)
+    return (
+        f"(CAST({day_number_sql(ts)} AS BIGINT) * 86400"
+        f" + hour({t}) * 3600 + minute({t}) * 60 + second({t}))"
+    )
 
 
-def epoch_seconds(ts: str | Column) -> Column:
-    """Whole seconds since the epoch of a naive timestamp."""
+def epoch_micros_sql(ts: str) -> str:
+    """Microseconds since the epoch of a naive timestamp column."""
+    t = quoted(ts)
     return (
-        day_number(ts).cast("bigint") * F.lit(86_400)
-        + F.hour(ts) * F.lit(3_600)
-        + F.minute(ts) * F.lit(60)
-        + F.second(ts)
+        f"((CAST({day_number_sql(ts)} AS BIGINT) * 86400"
+        f" + hour({t}) * 3600 + minute({t}) * 60) * 1000000"
+        f" + CAST(extract(SECOND FROM {t}) * 1000000 AS BIGINT))"
     )
 
 
-def epoch_micros(ts: str | Column) -> Column:
-    """Microseconds since the epoch of a naive timestamp."""
-    column = F.col(ts) if isinstance(ts, str) else ts
-    in_minute = (F.extract(F.lit("SECOND"), column) * F.lit(1_000_000)).cast("bigint")
-    whole_minutes = epoch_seconds(column) - F.second(column)
-    return whole_minutes * F.lit(1_000_000) + in_minute
+def plus_days(ts: Column, days: Column | int) -> Column:
+    """Move a timestamp by whole days."""
+    return ts + F.make_dt_interval(F.lit(days) if isinstance(days, int) else days)
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    """Whole seconds from ``start`` to ``end``, truncated toward zero."""
-    micros = epoch_micros(end) - epoch_micros(start)
-    return F.floor(F.abs(micros) / F.lit(1_000_000)).cast("bigint") * F.signum(micros).cast("bigint")
+def seconds_between(start: str, end: str) -> Column:
+    """Whole seconds from one column to another, truncated toward zero."""
+    return F.expr(f"({epoch_micros_sql(end)} - {epoch_micros_sql(start)}) div 1000000")
 
 
-def bucket_number(seconds: Column, size: Column, offset: Column) -> Column:
-    """Index of the bucket of ``size`` seconds that holds an epoch second."""
-    return F.floor((seconds + offset) / size).cast("bigint")
+def bucket_offset(timeframe: str) -> int:
+    """Seconds to add so that weeks start on Monday; other buckets count from the epoch."""
+    return 3 * 86_400 if timeframe.endswith("w") else 0
 
 
-def bucket_time(number: Column, size: Column, offset: Column) -> Column:
-    """Naive start time of a bucket index."""
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (number * size - offset).cast("decimal(18,6)")
+def bucket_start_of_bar(ts: str, timeframe: str) -> Column:
+    """:func:`bucket_start` as plain arithmetic on whole seconds, for bar times."""
+    size, offset = step_seconds(timeframe), bucket_offset(timeframe)
+    number = f"floor(({epoch_seconds_sql(ts)} + {offset}) / {size})"
+    seconds = f"CAST({number} * {size} - {offset} AS DECIMAL(18, 6))"
+    return F.expr(
+        f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
     )
 
 
-def bucket_offset(timeframe: str) -> int:
-    """Seconds to add so that weeks start on Monday; other buckets count from the epoch."""
-    return 3 * 86_400 if timeframe.endswith("w") else 0
+def naive_utc(time: str) -> Column:
+    """A time-zone timestamp expression as the naive time it shows in UTC."""
+    seconds = f"CAST(unix_micros({time}) / 1000000BD AS DECIMAL(18, 6))"
+    return F.expr(
+        f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    )
 
 
-def clock_label(ts: str | Column) -> Column:
-    return F.format_string("%02d:%02d", F.hour(ts), F.minute(ts))
+def clock_label(ts: str) -> Column:
+    t = quoted(ts)
+    return F.expr(f"format_string('%02d:%02d', hour({t}), minute({t}))")

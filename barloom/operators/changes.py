@@ -8,12 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions.timegrid import seconds_between, session_of
-from barloom.operators.indicators import Indicator, add_indicators, moving_average_of
+from barloom.operators.indicators import Indicator, add_indicators
 from barloom.operators.series import over_series
-from barloom.schema import KEYS, SESSION, TIMESTAMP, require_columns, require_positive
+from barloom.schema import (
+    KEYS,
+    SESSION,
+    TIMESTAMP,
+    quoted,
+    require_columns,
+    require_positive,
+    require_window,
+)
 
 
 def with_previous(df: DataFrame, column: str, name: str, **series) -> DataFrame:
@@ -21,36 +29,38 @@ def with_previous(df: DataFrame, column: str, name: str, **series) -> DataFrame:
     require_columns(df, [column])
     return over_series(
         df,
-        lambda rows, w: rows.withColumn(name, F.lag("_source").over(w.spec)),
-        carry={"_source": (F.col(column), "last")},
+        lambda w: [{"_before": f"lag(_source) {w.ordered}"}],
+        {name: "_before"},
+        carry={"_source": (quoted(column), "last")},
         **series,
     )
 
 
-def with_change(df: DataFrame, column: str = "close", name: str = "price_change", **series) -> DataFrame:
+def with_change(
+    df: DataFrame, column: str = "close", name: str = "price_change", **series
+) -> DataFrame:
     """Difference to the previous row."""
+    require_columns(df, [column])
     return over_series(
         df,
-        lambda rows, w: rows.withColumn(name, F.col(column) - F.lag("_source").over(w.spec)),
-        carry={"_source": (F.col(column), "last")},
+        lambda w: [{"_before": f"lag(_source) {w.ordered}"}],
+        {name: f"{quoted(column)} - _before"},
+        carry={"_source": (quoted(column), "last")},
         **series,
     )
 
 
-def with_returns(df: DataFrame, column: str = "close", name: str = "returns", **series) -> DataFrame:
+def with_returns(
+    df: DataFrame, column: str = "close", name: str = "returns", **series
+) -> DataFrame:
     """Relative change against the last known (non-null) earlier value."""
-
-    def compute(rows: DataFrame, w) -> DataFrame:
-        return rows.withColumn(
-            "_before", F.last("_source", ignorenulls=True).over(w.before)
-        ).withColumn(
-            name,
-            F.try_divide(F.coalesce(F.col(column), F.col("_before")), F.col("_before"))
-            - F.lit(1.0),
-        )
-
+    require_columns(df, [column])
     return over_series(
-        df, compute, carry={"_source": (F.col(column), "last_valid")}, **series
+        df,
+        lambda w: [{"_before": f"last(_source, true) {w.before}"}],
+        {name: f"try_divide(coalesce({quoted(column)}, _before), _before) - 1.0D"},
+        carry={"_source": (quoted(column), "last_valid")},
+        **series,
     )
 
 
@@ -59,13 +69,11 @@ def with_open_from_previous_close(
 ) -> DataFrame:
     """Open each bar at the close before it; the first at ``initial_price``."""
     require_positive(initial_price, "initial_price")
-    start = F.lit(float(initial_price))
     return over_series(
         df,
-        lambda rows, w: rows.withColumn("_before", F.lag("_source").over(w.spec)).withColumn(
-            name, F.coalesce("_before", start)
-        ),
-        carry={"_source": (F.col("close"), "last")},
+        lambda w: [{"_before": f"lag(_source) {w.ordered}"}],
+        {name: f"coalesce(_before, {float(initial_price)!r}D)"},
+        carry={"_source": ("close", "last")},
         **series,
     )
 
@@ -82,23 +90,23 @@ def with_price_index(
     require_positive(initial_price, "initial_price")
     return over_series(
         df,
-        lambda rows, w: rows.withColumn("_growth", F.product("_factor").over(w.running)).withColumn(
-            name, F.lit(float(initial_price)) * F.coalesce("_growth", F.lit(1.0))
-        ),
-        carry={"_factor": (F.lit(1.0) + F.col(returns), "product")},
+        lambda w: [{"_growth": w.running_product("_factor")}],
+        {name: f"{float(initial_price)!r}D * coalesce(_growth, 1.0D)"},
+        carry={"_factor": (f"1.0D + {quoted(returns)}", "product")},
         **series,
     )
 
 
-def with_running_sum(df: DataFrame, column: str = "volume", name: str | None = None, **series) -> DataFrame:
+def with_running_sum(
+    df: DataFrame, column: str = "volume", name: str | None = None, **series
+) -> DataFrame:
     """Sum from the start of the series; a missing value stays missing on its own row."""
     require_columns(df, [column])
     return over_series(
         df,
-        lambda rows, w: rows.withColumn("_sum", F.sum("_source").over(w.running)).withColumn(
-            name or f"running_{column}", F.when(F.col("_source").isNotNull(), F.col("_sum"))
-        ),
-        carry={"_source": (F.col(column), "sum")},
+        lambda w: [{"_sum": f"sum(_source) {w.running}"}],
+        {name or f"running_{column}": "CASE WHEN _source IS NOT NULL THEN _sum END"},
+        carry={"_source": (quoted(column), "sum")},
         **series,
     )
 
@@ -114,30 +122,32 @@ def with_gap_seconds(
 
     A session is one day, which bounds every window.
     """
-    by_session = Window.partitionBy(*keys, SESSION).orderBy(ts)
+    by_session = ", ".join(quoted(k) for k in (*keys, SESSION))
+    before = f"lag({quoted(ts)}) OVER (PARTITION BY {by_session} ORDER BY {quoted(ts)})"
     return (
         df.withColumn(SESSION, session_of(ts))
-        .withColumn("_before", F.lag(ts).over(by_session))
-        .withColumn(name, seconds_between(F.col("_before"), F.col(ts)))
+        .selectExpr("*", f"{before} AS _before")
+        .withColumn(name, seconds_between("_before", ts))
         .drop("_before")
     )
 
 
 def _average_and_returns(window: int) -> Indicator:
-    average = moving_average_of(window, name="_average")
-
-    def stages(w):
-        return [
-            {**average.stages(w)[0], "_close_before": F.lag("close").over(w.spec)},
-            {"_average_before": F.lag("_average").over(w.spec)},
+    require_window(window)
+    return Indicator(
+        lambda w: [
             {
-                "returns": F.try_divide(F.col("close"), F.col("_close_before")) - F.lit(1.0),
-                "ma_returns": F.try_divide(F.col("_average"), F.col("_average_before"))
-                - F.lit(1.0),
+                "_average": f"avg(close) {w.last(window)}",
+                "_close_before": f"lag(close) {w.ordered}",
             },
-        ]
-
-    return Indicator(stages, outputs=("returns", "ma_returns"), lookback=window)
+            {"_average_before": f"lag(_average) {w.ordered}"},
+        ],
+        outputs={
+            "returns": "try_divide(close, _close_before) - 1.0D",
+            "ma_returns": "try_divide(_average, _average_before) - 1.0D",
+        },
+        lookback=window,
+    )
 
 
 def smoothness(df: DataFrame, window: int = 30, *, keys: Sequence[str] = KEYS, **series) -> DataFrame:
@@ -149,10 +159,9 @@ def smoothness(df: DataFrame, window: int = 30, *, keys: Sequence[str] = KEYS, *
             F.stddev_samp("returns").alias("returns_std"),
             F.stddev_samp("ma_returns").alias("ma_returns_std"),
         )
-        .withColumns(
-            {
-                "smoothness_ratio": F.try_divide(F.col("ma_returns_std"), F.col("returns_std")),
-                "is_smoother": F.col("ma_returns_std") < F.col("returns_std"),
-            }
+        .selectExpr(
+            "*",
+            "try_divide(ma_returns_std, returns_std) AS smoothness_ratio",
+            "ma_returns_std < returns_std AS is_smoother",
         )
     )

@@ -1,7 +1,7 @@
 """Technical indicators over bars, per symbol, on row-count windows.
 
-Each indicator is a list of stages (see :func:`series.run_stages`), so that any
-set of them shares one shuffle, one sort and one set of halo rows.
+Each indicator is a list of stages (see :mod:`barloom.operators.series`), so that
+any set of them shares one shuffle, one sort and one set of halo rows.
 """
 
 from __future__ import annotations
@@ -9,35 +9,38 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from barloom.functions.bar_columns import typical_price
 from barloom.functions.timegrid import session_of
 from barloom.operators.series import (
     BLOCK_DAYS,
     DEFAULT_BLOCK_DAYS,
     SeriesWindow,
+    Stages,
+    in_lockstep,
     over_series,
-    run_stages,
 )
 from barloom.schema import (
     KEYS,
     SESSION,
     TIMESTAMP,
+    quoted,
     require_columns,
     require_non_negative,
     require_window,
 )
 
-Stages = list[dict[str, Column]]
+TYPICAL_PRICE = "((high + low + close) / 3.0D)"
 
 
 @dataclass(frozen=True)
 class Indicator:
+    """Columns over a series: SQL of the stages, of the results and of what is carried."""
+
     stages: Callable[[SeriesWindow], Stages]
-    outputs: tuple[str, ...]
+    outputs: Mapping[str, str]
     lookback: int = 0
-    carry: Mapping[str, tuple[Column, str]] = field(default_factory=dict)
+    carry: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     needs: tuple[str, ...] = ("close",)
 
 
@@ -53,20 +56,16 @@ def add_indicators(
     New columns follow the frame's own, in the order of the indicators.
     """
     require_columns(df, [c for i in indicators for c in i.needs])
-    carry: dict[str, tuple[Column, str]] = {}
-    for i in indicators:
-        carry.update(i.carry)
-    out = over_series(
+    return over_series(
         df,
-        lambda rows, w: run_stages(rows, w, *[i.stages for i in indicators]),
+        lambda w: in_lockstep([i.stages(w) for i in indicators]),
+        {name: sql for i in indicators for name, sql in i.outputs.items()},
         keys=keys,
         ts=ts,
         lookback=max(i.lookback for i in indicators),
-        carry=carry,
+        carry={name: c for i in indicators for name, c in i.carry.items()},
         block_days=block_days,
     )
-    added = dict.fromkeys(c for i in indicators for c in i.outputs)
-    return out.select(*[c for c in df.columns if c not in added], *added)
 
 
 # --- definitions -----------------------------------------------------------
@@ -74,10 +73,10 @@ def add_indicators(
 
 def moving_average_of(window: int = 30, column: str = "close", name: str | None = None) -> Indicator:
     require_window(window)
-    out = name or f"ma_{window}"
+    mean = quoted(f"_mean_{window}_{column}")
     return Indicator(
-        lambda w: [{out: F.avg(column).over(w.last(window))}],
-        outputs=(out,),
+        lambda w: [{mean: f"avg({quoted(column)}) {w.last(window)}"}],
+        outputs={name or f"ma_{window}": mean},
         lookback=window - 1,
         needs=(column,),
     )
@@ -85,17 +84,13 @@ def moving_average_of(window: int = 30, column: str = "close", name: str | None
 
 def moving_median_of(window: int = 30, column: str = "close", name: str | None = None) -> Indicator:
     require_window(window)
-    out = name or f"median_{window}"
-    held = f"_{out}_frame"
-    size = F.size(held)
-    lower = F.get(held, F.floor((size - 1) / 2).cast("int"))
-    upper = F.get(held, F.floor(size / 2).cast("int"))
+    held = quoted(f"_sorted_{window}_{column}")
+    middle = (
+        f"(get({held}, (size({held}) - 1) div 2) + get({held}, size({held}) div 2)) / 2.0D"
+    )
     return Indicator(
-        lambda w: [
-            {held: F.sort_array(F.collect_list(column).over(w.last(window)))},
-            {out: (lower + upper) / F.lit(2.0)},
-        ],
-        outputs=(out,),
+        lambda w: [{held: f"sort_array(collect_list({quoted(column)}) {w.last(window)})"}],
+        outputs={name or f"median_{window}": middle},
         lookback=window - 1,
         needs=(column,),
     )
@@ -104,39 +99,29 @@ def moving_median_of(window: int = 30, column: str = "close", name: str | None =
 def vwap_of(
     name: str = "vwap",
     *,
-    turnover: Column | None = None,
-    traded: Column | None = None,
+    turnover: str = f"{TYPICAL_PRICE} * volume",
+    traded: str = "volume",
     totals: tuple[str, str] | None = None,
 ) -> Indicator:
     """Running volume-weighted typical price; null while no volume was traded.
 
-    ``turnover`` and ``traded`` replace what a row adds to the two running sums;
-    ``totals`` names columns that keep the sums.
+    ``turnover`` and ``traded`` are what a row adds to the two running sums;
+    ``totals`` names result columns that keep the sums.
     """
-    summed = totals or ("_turnover", "_traded")
-
-    def stages(w: SeriesWindow) -> Stages:
-        return [
-            {
-                summed[0]: F.sum("_price_volume").over(w.running),
-                summed[1]: F.sum("_volume").over(w.running),
-            },
-            {
-                name: F.when(
-                    F.col("_price_volume").isNotNull(),
-                    F.try_divide(F.col(summed[0]), F.col(summed[1])),
-                )
-            },
-        ]
-
-    own_turnover = typical_price() * F.col("volume")
+    kept = dict(zip(totals or (), ("_turnover_sum", "_traded_sum")))
     return Indicator(
-        stages,
-        outputs=(name, *(totals or ())),
-        carry={
-            "_price_volume": (own_turnover if turnover is None else turnover, "sum"),
-            "_volume": (F.col("volume") if traded is None else traded, "sum"),
+        lambda w: [
+            {
+                "_turnover_sum": f"sum(_turnover) {w.running}",
+                "_traded_sum": f"sum(_traded) {w.running}",
+            }
+        ],
+        outputs={
+            name: "CASE WHEN _turnover IS NOT NULL"
+            " THEN try_divide(_turnover_sum, _traded_sum) END",
+            **kept,
         },
+        carry={"_turnover": (turnover, "sum"), "_traded": (traded, "sum")},
         needs=("high", "low", "close", "volume"),
     )
 
@@ -147,51 +132,47 @@ def bollinger_of(
     """Bands around a moving average; a one-row deviation counts as zero."""
     require_window(window)
     require_non_negative(num_std, "num_std")
-
-    def stages(w: SeriesWindow) -> Stages:
-        frame = w.last(window)
-        return [
-            {
-                middle: F.avg("close").over(frame),
-                "_spread": F.stddev_samp("close").over(frame),
-            },
-            {"_spread": F.coalesce("_spread", F.lit(0.0)) * F.lit(float(num_std))},
-            {
-                "bb_upper": F.col(middle) + F.col("_spread"),
-                "bb_lower": F.col(middle) - F.col("_spread"),
-            },
-        ]
-
+    mean, spread = quoted(f"_mean_{window}_close"), f"_spread_{window}"
+    width = f"coalesce({spread}, 0.0D) * {float(num_std)!r}D"
     return Indicator(
-        stages, outputs=(middle, "bb_upper", "bb_lower"), lookback=window - 1
+        lambda w: [
+            {
+                mean: f"avg(close) {w.last(window)}",
+                spread: f"stddev_samp(close) {w.last(window)}",
+            }
+        ],
+        outputs={
+            middle: mean,
+            "bb_upper": f"{mean} + {width}",
+            "bb_lower": f"{mean} - {width}",
+        },
+        lookback=window - 1,
     )
 
 
 def rsi_of(window: int = 14, name: str = "rsi") -> Indicator:
     """Relative strength from plain means of gains and losses; 100 without losses."""
     require_window(window)
+    up, down = f"_mean_gain_{window}", f"_mean_loss_{window}"
 
     def stages(w: SeriesWindow) -> Stages:
-        change = F.col("_change")
-        gain = F.when(change > 0, change).otherwise(0.0)
-        loss = F.when(change < 0, -change).otherwise(0.0)
-        frame = w.last(window)
-        strength = F.col("_mean_gain") / F.nullif(F.col("_mean_loss"), F.lit(0.0))
+        gain = "CASE WHEN _change > 0 THEN _change ELSE 0.0D END"
+        loss = "CASE WHEN _change < 0 THEN -_change ELSE 0.0D END"
         return [
-            {"_change": F.col("close") - F.lag("close").over(w.spec)},
-            {"_gain": F.when(w.real, gain), "_loss": F.when(w.real, loss)},
+            {"_change": f"close - lag(close) {w.ordered}"},
             {
-                "_mean_gain": F.avg("_gain").over(frame),
-                "_mean_loss": F.avg("_loss").over(frame),
-            },
-            {
-                name: F.when(F.col("_mean_loss") == 0, F.lit(100.0)).otherwise(
-                    F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + strength)
-                )
+                "_gain": f"CASE WHEN {w.real} THEN {gain} END",
+                "_loss": f"CASE WHEN {w.real} THEN {loss} END",
             },
+            {up: f"avg(_gain) {w.last(window)}", down: f"avg(_loss) {w.last(window)}"},
         ]
 
-    return Indicator(stages, outputs=(name,), lookback=window)
+    strength = f"100.0D - 100.0D / (1.0D + {up} / nullif({down}, 0.0D))"
+    return Indicator(
+        stages,
+        outputs={name: f"CASE WHEN {down} = 0 THEN 100.0D ELSE {strength} END"},
+        lookback=window,
+    )
 
 
 def rolling_volatility_of(
@@ -199,21 +180,22 @@ def rolling_volatility_of(
 ) -> Indicator:
     """Returns and their deviation over ``window`` rows, null until all are known."""
     require_window(window)
-
-    def stages(w: SeriesWindow) -> Stages:
-        previous = F.lag("close").over(w.spec)
-        frame = w.last(window)
-        return [
-            {"_before": previous},
-            {returns: F.try_divide(F.col("close"), F.col("_before")) - F.lit(1.0)},
+    known, spread = f"_known_{window}", f"_return_spread_{window}"
+    return Indicator(
+        lambda w: [
+            {"_close_before": f"lag(close) {w.ordered}"},
+            {"_return": "try_divide(close, _close_before) - 1.0D"},
             {
-                "_known": F.count(returns).over(frame),
-                "_deviation": F.stddev_samp(returns).over(frame),
+                known: f"count(_return) {w.last(window)}",
+                spread: f"stddev_samp(_return) {w.last(window)}",
             },
-            {name: F.when(F.col("_known") == window, F.col("_deviation"))},
-        ]
-
-    return Indicator(stages, outputs=(returns, name), lookback=window)
+        ],
+        outputs={
+            returns: "_return",
+            name: f"CASE WHEN {known} = {window} THEN {spread} END",
+        },
+        lookback=window,
+    )
 
 
 # --- operators -------------------------------------------------------------
@@ -282,19 +264,17 @@ STANDARD_WINDOWS = {
 }
 COMPACT_RSI_WINDOW = 14
 COMPACT_NUM_STD = 2.0
-COMPACT_COLUMNS = ("ma", "median", "vwap", "bb_upper", "bb_lower", "rsi")
-
 
-def _block_for(timeframe: str, series: dict) -> dict:
-    return {"block_days": BLOCK_DAYS.get(timeframe, DEFAULT_BLOCK_DAYS), **series}
 
-
-def standard_set(timeframe: str, windows: WindowSet | None = None, **vwap_options) -> list[Indicator]:
+def standard_set(
+    timeframe: str, windows: WindowSet | None = None, vwap_indicator: Indicator | None = None
+) -> list[Indicator]:
+    """The indicators of :func:`standard_metrics`; timeframes outside the table use ones."""
     w = windows or STANDARD_WINDOWS.get(timeframe, WindowSet(1, 1, 1, 1))
     return [
         moving_average_of(w.ma),
         moving_median_of(w.median),
-        vwap_of(**vwap_options),
+        vwap_indicator or vwap_of(),
         bollinger_of(w.bands),
         rsi_of(w.rsi),
     ]
@@ -306,11 +286,10 @@ def standard_metrics(
     """The full set, with window sizes that fit the bar length.
 
     Adds ``ma_{w}``, ``median_{w}``, ``vwap``, ``bb_middle``, ``bb_upper``,
-    ``bb_lower`` and ``rsi``.  Timeframes outside the table use windows of one.
+    ``bb_lower`` and ``rsi``.
     """
-    return add_indicators(
-        df, *standard_set(timeframe, windows), **_block_for(timeframe, series)
-    )
+    blocks = {"block_days": BLOCK_DAYS.get(timeframe, DEFAULT_BLOCK_DAYS)}
+    return add_indicators(df, *standard_set(timeframe, windows), **{**blocks, **series})
 
 
 def standard_metrics_by_timeframe(
@@ -323,14 +302,15 @@ def standard_metrics_by_timeframe(
 def compact_metrics(df: DataFrame, window: int, **series) -> DataFrame:
     """One window size for all: ``ma``, ``median``, ``vwap``, ``bb_upper``, ``bb_lower``, ``rsi``.
 
-    Relative strength keeps 14 rows and the bands two deviations.
+    Relative strength keeps 14 rows and the bands two deviations; the middle
+    band is the moving average.
     """
-    out = add_indicators(
+    return add_indicators(
         df,
-        bollinger_of(window, COMPACT_NUM_STD, middle="ma"),
+        moving_average_of(window, name="ma"),
         moving_median_of(window, name="median"),
         vwap_of(),
+        bollinger_of(window, COMPACT_NUM_STD, middle="ma"),
         rsi_of(COMPACT_RSI_WINDOW),
         **series,
     )
-    return out.select(*[c for c in df.columns if c not in COMPACT_COLUMNS], *COMPACT_COLUMNS)

@@ -8,7 +8,6 @@ map task through the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 from functools import reduce
 from math import gcd
 
@@ -16,24 +15,22 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barloom.functions.timegrid import (
     DEFAULT_TIMEFRAMES,
-    bucket_number,
     bucket_offset,
     bucket_start,
-    bucket_time,
-    epoch_micros,
-    epoch_seconds,
+    bucket_start_of_bar,
+    epoch_micros_sql,
     step_seconds,
 )
-from barloom.schema import KEYS, OHLCV, PRICES, TIMEFRAME, TIMESTAMP, require_columns
+from barloom.schema import KEYS, OHLCV, PRICES, TIMEFRAME, TIMESTAMP, quoted, require_columns
 
 # Twice the span of a bigint tie-breaker, so equal timestamps keep their order.
-_TIE_SPAN = Decimal("20000000000000000000")
+_TIE_SPAN = "20000000000000000000BD"
 # Below every bigint, so a missing tie-breaker comes first.
-_NULL_TIE = Decimal("-9223372036854775809")
+_NULL_TIE = "-9223372036854775809BD"
 
 
-def order_key(df: DataFrame, ts: str = TIMESTAMP, tiebreak: Sequence[str] = ()) -> Column:
-    """One orderable value for "earliest" and "latest".
+def order_key(df: DataFrame, ts: str = TIMESTAMP, tiebreak: Sequence[str] = ()) -> str:
+    """SQL of one orderable value for "earliest" and "latest".
 
     Fixed-width values keep the aggregation hash-based: the timestamp alone when
     it is unique per key, or timestamp and one integer tie-breaker packed into a
@@ -41,14 +38,14 @@ def order_key(df: DataFrame, ts: str = TIMESTAMP, tiebreak: Sequence[str] = ())
     sorting.
     """
     if not tiebreak:
-        return F.col(ts)
+        return quoted(ts)
     if len(tiebreak) == 1 and isinstance(
         df.schema[tiebreak[0]].dataType, (T.LongType, T.IntegerType, T.ShortType)
     ):
-        micros = epoch_micros(ts).cast("decimal(18,0)")
-        tie = F.coalesce(F.col(tiebreak[0]).cast("decimal(19,0)"), F.lit(_NULL_TIE))
-        return (micros * F.lit(_TIE_SPAN) + tie).cast("decimal(38,0)")
-    return F.struct(ts, *tiebreak)
+        time = f"CAST({epoch_micros_sql(ts)} AS DECIMAL(18, 0)) * {_TIE_SPAN}"
+        tie = f"coalesce(CAST({quoted(tiebreak[0])} AS DECIMAL(19, 0)), {_NULL_TIE})"
+        return f"CAST({time} + {tie} AS DECIMAL(38, 0))"
+    return f"struct({', '.join(quoted(c) for c in (ts, *tiebreak))})"
 
 
 def drop_null_bars(df: DataFrame) -> DataFrame:
@@ -56,13 +53,16 @@ def drop_null_bars(df: DataFrame) -> DataFrame:
     return df.dropna(subset=list(PRICES))
 
 
-def bucket_aggregates(ordering: Column) -> list[Column]:
+def bucket_aggregates(ordering: str) -> list[Column]:
     return [
-        F.min_by("open", ordering).alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", ordering).alias("close"),
-        F.coalesce(F.sum("volume"), F.lit(0)).cast("bigint").alias("volume"),
+        F.expr(sql)
+        for sql in (
+            f"min_by(open, {ordering}) AS open",
+            "max(high) AS high",
+            "min(low) AS low",
+            f"max_by(close, {ordering}) AS close",
+            "CAST(coalesce(sum(volume), 0) AS BIGINT) AS volume",
+        )
     ]
 
 
@@ -100,12 +100,10 @@ def _coarser(
     The bucket is plain arithmetic: ``window`` would add a filter that Spark
     pushes below the finer shuffle, which could then no longer be shared.
     """
-    size, offset = F.lit(step_seconds(timeframe)), F.lit(bucket_offset(timeframe))
-    start = bucket_time(bucket_number(epoch_seconds(ts), size, offset), size, offset)
     return (
-        bars.withColumn("_start", start)
+        bars.withColumn("_start", bucket_start_of_bar(ts, timeframe))
         .groupBy(*keys, "_start")
-        .agg(*bucket_aggregates(F.col(ts)))
+        .agg(*bucket_aggregates(quoted(ts)))
         .withColumnRenamed("_start", ts)
     )
 

@@ -14,6 +14,9 @@ extra rows make the result equal to the whole-series window:
 Both come from per-block digests (the last rows, the totals) that are reduced on
 the map side before anything is shuffled; the bars themselves are shuffled once.
 Added rows sort before the block's own and are removed at the end.
+
+Columns are mostly given as SQL text: a plan of some forty expressions is then a
+few calls to the JVM instead of hundreds.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from barloom.functions.timegrid import day_number
-from barloom.schema import KEYS, TIMESTAMP, require_columns
+from barloom.functions.timegrid import day_number_sql
+from barloom.schema import KEYS, TIMESTAMP, quoted, require_columns
 
 # 28 days of one-minute bars are at most 40,320 rows a block.
 DEFAULT_BLOCK_DAYS = 28
@@ -40,97 +43,142 @@ _OWN, _HALO, _CARRY = 0, 1, 2
 
 @dataclass(frozen=True)
 class SeriesWindow:
-    """The window of one series (or block) in time order."""
+    """The window of one series (or block) in time order, as SQL text."""
+
+    partition: tuple[str, ...]
+    ts: str
+    real: str
+    """Condition that is true on bars and false on the carry row of a block."""
+    in_blocks: bool
+
+    def _over(self, rows: str = "") -> str:
+        first = f"{_KIND} DESC, " if self.in_blocks else ""
+        by = ", ".join(self.partition)
+        return f"OVER (PARTITION BY {by} ORDER BY {first}{self.ts}{rows})"
 
-    spec: WindowSpec
-    real: Column
-    """True on bars, false on the carry row that starts a block."""
+    @property
+    def ordered(self) -> str:
+        return self._over()
 
-    def last(self, n: int) -> WindowSpec:
-        return self.spec.rowsBetween(-(n - 1), Window.currentRow)
+    def last(self, n: int) -> str:
+        return self._over(f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
 
     @property
-    def running(self) -> WindowSpec:
-        return self.spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    def running(self) -> str:
+        return self._over(" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
 
     @property
-    def before(self) -> WindowSpec:
-        return self.spec.rowsBetween(Window.unboundedPreceding, -1)
+    def before(self) -> str:
+        return self._over(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+
+    def running_product(self, column: str) -> Column:
+        """SQL has no product; this is the one column built from the function."""
+        order = [F.desc(_KIND), self.ts] if self.in_blocks else [self.ts]
+        spec = Window.partitionBy(*self.partition).orderBy(*order)
+        return F.product(column).over(
+            spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
 
 
-Compute = Callable[[DataFrame, SeriesWindow], DataFrame]
+# Columns by name; a later stage may use those of earlier ones.  Names start with
+# an underscore and do not reach the result.
+Stages = list[dict[str, str | Column]]
 
 
 def over_series(
     df: DataFrame,
-    compute: Compute,
+    stages: Callable[[SeriesWindow], Stages],
+    outputs: Mapping[str, str],
     *,
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
     lookback: int = 0,
-    carry: Mapping[str, tuple[Column, str]] | None = None,
+    carry: Mapping[str, tuple[str, str]] | None = None,
     block_days: int | None = DEFAULT_BLOCK_DAYS,
 ) -> DataFrame:
-    """Run ``compute`` over every series of ``df`` in time order.
-
-    ``lookback`` is the number of earlier rows a row's result depends on.
-    ``carry`` names columns to add, each with its expression and what the carry
-    row holds of the earlier blocks: the ``sum`` or ``product`` of the column,
-    its ``last`` value, or its ``last_valid`` (non-null) value.  ``compute`` can
-    then use ``running`` frames, or look one row back, without a halo.
-    Columns that start with an underscore are dropped from the result.
-    ``block_days=None`` uses one window per series.
+    """Compute columns over every series of ``df`` in time order.
+
+    ``outputs`` are the columns to add or replace, over the columns of the
+    frame and of ``stages``.  ``lookback`` is the number of earlier rows a row's
+    result depends on.  ``carry`` names columns to add, each with its expression
+    and what the carry row holds of the earlier blocks: the ``sum`` or
+    ``product`` of the column, its ``last`` value, or its ``last_valid``
+    (non-null) value.  Stages can then use ``running`` frames, or look one row
+    back, without a halo.  ``block_days=None`` uses one window per series.
     """
     require_columns(df, [*keys, ts])
     carried = dict(carry or {})
-    own = df.withColumns({name: expr for name, (expr, _) in carried.items()}) if carried else df
+    partition = [quoted(k) for k in keys]
+    added = [f"{expr} AS {name}" for name, (expr, _) in carried.items()]
     if block_days is None:
-        spec = Window.partitionBy(*keys).orderBy(ts)
-        return _public(compute(own, SeriesWindow(spec, F.lit(True))))
-
-    own = own.withColumn(_BLOCK, F.floor(day_number(ts) / F.lit(block_days)).cast("int"))
-    parts = [own.withColumn(_KIND, F.lit(_OWN))]
+        rows = df.selectExpr("*", *added) if added else df
+        window = SeriesWindow(tuple(partition), quoted(ts), "true", in_blocks=False)
+    else:
+        block = f"CAST(floor({day_number_sql(ts)} / {block_days}) AS INT) AS {_BLOCK}"
+        own = df.selectExpr("*", *added, block)
+        rows = _with_context(own, carried, [*partition, _BLOCK], keys, ts, lookback)
+        by_block = (*partition, _BLOCK)
+        window = SeriesWindow(by_block, quoted(ts), f"{_KIND} <> {_CARRY}", in_blocks=True)
+    for stage in stages(window):
+        rows = rows.select("*", *[_named(expr, name) for name, expr in stage.items()])
+    if block_days is not None:
+        rows = rows.where(f"{_KIND} = {_OWN}")
+    kept = [f"{outputs[c]} AS {quoted(c)}" if c in outputs else quoted(c) for c in df.columns]
+    new = [f"{expr} AS {quoted(c)}" for c, expr in outputs.items() if c not in df.columns]
+    return rows.selectExpr(*kept, *new)
+
+
+def _named(expr: str | Column, name: str) -> Column:
+    return expr.alias(name) if isinstance(expr, Column) else F.expr(f"{expr} AS {name}")
+
+
+def _with_context(
+    own: DataFrame,
+    carried: Mapping[str, tuple[str, str]],
+    block_keys: Sequence[str],
+    keys: Sequence[str],
+    ts: str,
+    lookback: int,
+) -> DataFrame:
+    """The bars of each block together with its halo and carry rows."""
+    parts = [own.selectExpr("*", f"{_OWN} AS {_KIND}")]
     if lookback:
         # Totals reach a block through its carry row alone.
-        totals = [name for name, (_, how) in carried.items() if how in ("sum", "product")]
-        halo = _halo(own.drop(*totals), keys, ts, lookback)
-        parts.append(halo.withColumn(_KIND, F.lit(_HALO)))
+        totals = {name for name, (_, how) in carried.items() if how in ("sum", "product")}
+        payload = [
+            quoted(c) for c in own.columns if c not in {*keys, _BLOCK} and c not in totals
+        ]
+        parts.append(_halo(own, payload, block_keys, ts, lookback))
     if carried:
-        parts.append(_carry_rows(own, carried, keys, ts).withColumn(_KIND, F.lit(_CARRY)))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    spec = Window.partitionBy(*keys, _BLOCK).orderBy(F.desc(_KIND), F.asc(ts))
-    out = compute(rows, SeriesWindow(spec, F.col(_KIND) != _CARRY))
-    return _public(out.where(F.col(_KIND) == _OWN))
-
-
-def _public(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if not c.startswith("_")])
+        parts.append(_carry_rows(own, carried, block_keys, ts))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _halo(own: DataFrame, keys: Sequence[str], ts: str, lookback: int) -> DataFrame:
+def _halo(
+    own: DataFrame, payload: Sequence[str], block_keys: Sequence[str], ts: str, lookback: int
+) -> DataFrame:
     """The ``lookback`` rows before each block, labelled with that block.
 
     Taking the last rows of every block is a group limit, which Spark applies
     before the shuffle.  The per-series window then sees only those: at most
     ``lookback`` rows per block.
     """
-    newest_first = Window.partitionBy(*keys, _BLOCK).orderBy(F.desc(ts))
-    payload = [c for c in own.columns if c not in {*keys, _BLOCK}]
+    newest_first = f"PARTITION BY {', '.join(block_keys)} ORDER BY {quoted(ts)} DESC"
     tails = (
-        own.withColumn("_age", F.row_number().over(newest_first))
-        .where(F.col("_age") <= lookback)
-        .select(*keys, _BLOCK, F.struct(*payload).alias("_row"))
+        own.selectExpr("*", f"row_number() OVER ({newest_first}) AS _age")
+        .where(f"_age <= {lookback}")
+        .selectExpr(*block_keys, f"struct({', '.join(payload)}) AS _row")
     )
-    by_time = Window.partitionBy(*keys).orderBy(F.col(f"_row.{ts}"))
+    by_time = f"PARTITION BY {', '.join(block_keys[:-1])} ORDER BY _row.{quoted(ts)}"
+    earlier = f"ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING"
     return (
-        tails.withColumns(
-            {
-                "_earlier": F.collect_list("_row").over(by_time.rowsBetween(-lookback, -1)),
-                "_previous": F.lag(_BLOCK).over(by_time),
-            }
+        tails.selectExpr(
+            *block_keys,
+            f"collect_list(_row) OVER ({by_time} {earlier}) AS _earlier",
+            f"lag({_BLOCK}) OVER ({by_time}) AS _previous",
         )
-        .where(F.col("_previous") < F.col(_BLOCK))
-        .select(*keys, _BLOCK, F.inline("_earlier"))
+        .where(f"_previous < {_BLOCK}")
+        .selectExpr(*block_keys, "inline(_earlier)", f"{_HALO} AS {_KIND}")
     )
 
 
@@ -164,33 +212,26 @@ def _carried_value(name: str, how: str, by_block: WindowSpec) -> Column:
 
 
 def _carry_rows(
-    own: DataFrame, carried: Mapping[str, tuple[Column, str]], keys: Sequence[str], ts: str
+    own: DataFrame, carried: Mapping[str, tuple[str, str]], block_keys: Sequence[str], ts: str
 ) -> DataFrame:
     """What each block needs to know of all earlier ones, one row per block."""
-    digests = own.groupBy(*keys, _BLOCK).agg(
+    digests = own.groupBy(*block_keys).agg(
         *[_block_digest(name, how, ts) for name, (_, how) in carried.items()]
     )
-    by_block = Window.partitionBy(*keys).orderBy(_BLOCK)
+    by_block = Window.partitionBy(*block_keys[:-1]).orderBy(_BLOCK)
     return digests.select(
-        *keys,
-        _BLOCK,
+        *block_keys,
         *[_carried_value(name, how, by_block) for name, (_, how) in carried.items()],
+        F.lit(_CARRY).alias(_KIND),
     )
 
 
-def run_stages(
-    df: DataFrame, window: SeriesWindow, *indicators: Callable[[SeriesWindow], list[dict]]
-) -> DataFrame:
-    """Apply the stages of several indicators in lockstep.
+def in_lockstep(stage_lists: Sequence[Stages]) -> Stages:
+    """Merge the stages of several indicators: stage ``i`` of all in one projection.
 
-    Stage ``i`` of all indicators goes into one projection, so that Catalyst
-    plans one Window node per stage and computes each named expression once.
+    Catalyst then plans one Window node per stage and computes each column once.
     """
-    plans = [build(window) for build in indicators]
-    for i in range(max(len(p) for p in plans)):
-        columns: dict[str, Column] = {}
-        for plan in plans:
-            if i < len(plan):
-                columns.update(plan[i])
-        df = df.withColumns(columns)
-    return df
+    merged: Stages = []
+    for i in range(max(len(s) for s in stage_lists)):
+        merged.append({k: v for s in stage_lists if i < len(s) for k, v in s[i].items()})
+    return merged

@@ -9,7 +9,7 @@ from math import sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barloom.functions.bar_columns import is_overbought, is_oversold, with_normal_quantile
+from barloom.functions.bar_columns import OVERBOUGHT, OVERSOLD, with_normal_quantile
 from barloom.operators.changes import with_returns
 from barloom.operators.ranks import exact_quantiles, ranked_points, spread_join
 from barloom.schema import (
@@ -18,6 +18,7 @@ from barloom.schema import (
     TIMESTAMP,
     indicator_columns,
     numeric_columns,
+    quoted,
     require_columns,
     require_window,
 )
@@ -48,19 +49,12 @@ def unpivoted(
 ) -> DataFrame:
     """One row per key, time and column, with the value as a double."""
     require_columns(df, columns)
-    return df.select(
-        *keys,
-        ts,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")
-                    )
-                    for c in columns
-                ]
-            )
-        ),
+    cells = [
+        f"struct({_literal(c)} AS column_name, CAST({quoted(c)} AS DOUBLE) AS value)"
+        for c in columns
+    ]
+    return df.selectExpr(
+        *[quoted(k) for k in keys], quoted(ts), f"inline(array({', '.join(cells)}))"
     )
 
 
@@ -76,12 +70,17 @@ def describe(
     long = unpivoted(df, columns, keys=keys, ts=ts)
     by = [*keys, "column_name"]
     moments = long.groupBy(*by).agg(
-        F.count("value").alias("n"),
-        F.count_if(F.col("value").isNull()).alias("null_count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        *[
+            F.expr(sql)
+            for sql in (
+                "count(value) AS n",
+                "count_if(value IS NULL) AS null_count",
+                "avg(value) AS mean",
+                "stddev_samp(value) AS std",
+                "min(value) AS min",
+                "max(value) AS max",
+            )
+        ]
     )
     quartiles = exact_quantiles(
         long, DESCRIBE_QUANTILES, keys=by, value="value", spread=ts, few=few
@@ -143,58 +142,48 @@ def correlation_matrix(
     width = min(_PAIRS_PER_ROW, len(pairs))
     groups = [pairs[i : i + width] for i in range(0, len(pairs), width)]
 
-    def side(mine: str, other: str) -> Column:
-        return F.when(F.col(other).isNotNull(), F.col(mine).cast("double"))
+    def side(mine: str, other: str) -> str:
+        return f"IF({quoted(other)} IS NULL, NULL, CAST({quoted(mine)} AS DOUBLE))"
+
+    def offered(number: int, group: list[tuple[str, str]]) -> str:
+        sides = [v for a, b in group for v in (side(a, b), side(b, a))]
+        sides += ["CAST(NULL AS DOUBLE)"] * (2 * width - len(sides))
+        named = [f"{v} AS _{'xy'[i % 2]}{i // 2}" for i, v in enumerate(sides)]
+        return f"struct({number} AS _group, {', '.join(named)})"
 
-    def offered(number: int, group: list[tuple[str, str]]) -> Column:
-        fields = [F.lit(number).alias("_group")]
-        for j in range(width):
-            a, b = group[j] if j < len(group) else (None, None)
-            nothing = F.lit(None).cast("double")
-            fields.append((side(a, b) if a else nothing).alias(f"_x{j}"))
-            fields.append((side(b, a) if a else nothing).alias(f"_y{j}"))
-        return F.struct(*fields)
+    def label(j: int, which: int) -> str:
+        known = [_literal(g[j][which]) if j < len(g) else "NULL" for g in groups]
+        return f"get(array({', '.join(known)}), _group)"
 
-    rows = df.select(*keys, F.inline(F.array(*[offered(i, g) for i, g in enumerate(groups)])))
+    by = [quoted(k) for k in keys]
+    rows = df.selectExpr(
+        *by, f"inline(array({', '.join(offered(i, g) for i, g in enumerate(groups))}))"
+    )
     moments = rows.groupBy(*keys, "_group").agg(
         *[
-            m
+            F.expr(sql)
             for j in range(width)
-            for m in (
-                F.covar_samp(f"_x{j}", f"_y{j}").alias(f"_cov{j}"),
-                F.stddev_samp(f"_x{j}").alias(f"_sx{j}"),
-                F.stddev_samp(f"_y{j}").alias(f"_sy{j}"),
+            for sql in (
+                f"covar_samp(_x{j}, _y{j}) AS _cov{j}",
+                f"stddev_samp(_x{j}) AS _sx{j}",
+                f"stddev_samp(_y{j}) AS _sy{j}",
             )
         ]
     )
+    results = [
+        f"struct({label(j, 0)} AS _a, {label(j, 1)} AS _b,"
+        f" _cov{j} / nullif(_sx{j} * _sy{j}, 0.0D) AS r)"
+        for j in range(width)
+    ]
+    half = moments.selectExpr(*by, f"inline(array({', '.join(results)}))")
+    straight, mirrored = "struct(_a AS col_a, _b AS col_b)", "struct(_b AS col_a, _a AS col_b)"
+    both = f"IF(_a = _b, array({straight}), array({straight}, {mirrored}))"
+    return half.where("_a IS NOT NULL").selectExpr(*by, f"inline({both})", "r")
 
-    def named(j: int, which: int) -> Column:
-        known = [F.lit(g[j][which] if j < len(g) else None) for g in groups]
-        return F.get(F.array(*known), F.col("_group"))
-
-    def correlation(j: int) -> Column:
-        spread = F.nullif(F.col(f"_sx{j}") * F.col(f"_sy{j}"), F.lit(0.0))
-        return F.col(f"_cov{j}") / spread
 
-    half = moments.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        named(j, 0).alias("_a"), named(j, 1).alias("_b"), correlation(j).alias("r")
-                    )
-                    for j in range(width)
-                ]
-            )
-        ),
-    ).where(F.col("_a").isNotNull())
-    both = F.array(
-        F.struct(F.col("_a").alias("col_a"), F.col("_b").alias("col_b")),
-        F.struct(F.col("_b").alias("col_a"), F.col("_a").alias("col_b")),
-    )
-    mirrored = F.when(F.col("_a") == F.col("_b"), F.slice(both, 1, 1)).otherwise(both)
-    return half.select(*keys, F.inline(mirrored), "r")
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _bin_edges(low: Column, high: Column) -> tuple[Column, Column]:
@@ -301,28 +290,29 @@ def normal_fit(points: DataFrame, *, keys: Sequence[str] = KEYS) -> DataFrame:
 def indicator_summary(df: DataFrame, *, keys: Sequence[str] = KEYS) -> DataFrame:
     """Means of close, VWAP and RSI, their deviation, and over- and undersold shares."""
     require_columns(df, ["close", "vwap", "rsi", "bb_upper", "bb_lower"])
-    n = F.col("n_bars")
+    averages = [c for c in df.columns if c == "ma" or c.startswith("ma_")]
     out = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_bars"),
-        F.avg("close").alias("mean_close"),
-        F.avg("vwap").alias("mean_vwap"),
-        F.avg("rsi").alias("mean_rsi"),
-        F.min("rsi").alias("min_rsi"),
-        F.max("rsi").alias("max_rsi"),
-        F.count_if(is_overbought()).alias("overbought"),
-        F.count_if(is_oversold()).alias("oversold"),
-        F.avg(F.col("bb_upper") - F.col("bb_lower")).alias("mean_band_width"),
-        *[F.avg(c).alias(f"mean_{c}") for c in df.columns if c == "ma" or c.startswith("ma_")],
-    )
-    return out.withColumns(
-        {
-            "vwap_deviation_pct": F.try_divide(
-                F.abs(F.col("mean_close") - F.col("mean_vwap")), F.col("mean_close")
+        *[
+            F.expr(sql)
+            for sql in (
+                "count(1) AS n_bars",
+                "avg(close) AS mean_close",
+                "avg(vwap) AS mean_vwap",
+                "avg(rsi) AS mean_rsi",
+                "min(rsi) AS min_rsi",
+                "max(rsi) AS max_rsi",
+                f"count_if(rsi > {OVERBOUGHT}D) AS overbought",
+                f"count_if(rsi < {OVERSOLD}D) AS oversold",
+                "avg(bb_upper - bb_lower) AS mean_band_width",
+                *[f"avg({quoted(c)}) AS {quoted(f'mean_{c}')}" for c in averages],
             )
-            * F.lit(100.0),
-            "overbought_pct": F.col("overbought") / n * F.lit(100.0),
-            "oversold_pct": F.col("oversold") / n * F.lit(100.0),
-        }
+        ]
+    )
+    return out.selectExpr(
+        "*",
+        "try_divide(abs(mean_close - mean_vwap), mean_close) * 100.0D AS vwap_deviation_pct",
+        "overbought / n_bars * 100.0D AS overbought_pct",
+        "oversold / n_bars * 100.0D AS oversold_pct",
     )
 
 

@@ -49,12 +49,9 @@ def rounded(df: DataFrame) -> DataFrame:
 
     Spelled out in plain arithmetic, because engines round ties differently.
     """
-    million = F.lit(1_000_000.0)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.floor(F.col(c) * million + F.lit(HALF)) / million).alias(c)
-            if t == "double"
-            else F.col(c)
+            f"floor(`{c}` * 1000000.0D + {HALF}D) / 1000000.0D AS `{c}`" if t == "double" else f"`{c}`"
             for c, t in df.dtypes
         ]
     )

@@ -29,6 +29,11 @@ BAR_SCHEMA = T.StructType(
 )
 
 
+def quoted(name: str) -> str:
+    """A column name as an SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 class SchemaError(ValueError):
     """A DataFrame lacks a column, or has it with a type an operator cannot use."""
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.functions.timegrid import epoch_micros, step_seconds
+from barloom.functions.timegrid import epoch_micros_sql, naive_utc, step_seconds
 from barloom.operators.rollup import bucket_aggregates, drop_null_bars, order_key
 from barloom.schema import KEYS, OHLCV, TIMESTAMP, require_columns
 
@@ -51,15 +51,13 @@ def stream_bars(
     timed = ticks.select(
         *keys,
         *OHLCV,
-        order_key(ticks, ts, tiebreak).alias("_order"),
-        F.timestamp_micros(epoch_micros(ts)).alias(_EVENT_TIME),
+        F.expr(f"{order_key(ticks, ts, tiebreak)} AS _order"),
+        F.expr(f"timestamp_micros({epoch_micros_sql(ts)}) AS {_EVENT_TIME}"),
     ).withWatermark(_EVENT_TIME, lateness)
     bars = timed.groupBy(
         *keys, F.window(_EVENT_TIME, f"{step_seconds(timeframe)} seconds").alias("_window")
-    ).agg(*bucket_aggregates(F.col("_order")))
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(F.unix_micros(F.col("_window.start")) / F.lit(1_000_000)).cast("decimal(18,6)")
-    )
+    ).agg(*bucket_aggregates("_order"))
+    start = naive_utc("_window.start")
     return drop_null_bars(bars.select(*keys, start.alias(ts), *OHLCV))
 
 

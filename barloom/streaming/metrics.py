@@ -13,7 +13,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from barloom.operators.indicators import WindowSet, add_indicators, standard_set
+from barloom.operators.indicators import (
+    TYPICAL_PRICE,
+    WindowSet,
+    add_indicators,
+    standard_set,
+    vwap_of,
+)
 from barloom.operators.series import DEFAULT_BLOCK_DAYS
 from barloom.schema import KEYS, OHLCV, TIMESTAMP
 
@@ -32,9 +38,10 @@ def add_metrics_after(
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics of new bars that continue a tail, and the tail after them."""
     own = bars.select(*keys, ts, *OHLCV).withColumn("is_new", F.lit(True))
-    rows = own
-    seed = {t: F.lit(None) for t in _TOTALS}
-    if tail is not None:
+    if tail is None:
+        rows = own
+        vwap = vwap_of(totals=_TOTALS)
+    else:
         # The oldest row of a tail brings all totals up to itself.
         oldest = F.row_number().over(Window.partitionBy(*keys).orderBy(ts)) == 1
         before = tail.withColumn("_oldest", oldest).select(
@@ -45,15 +52,12 @@ def add_metrics_after(
             *[F.when(F.col("_oldest"), F.col(t)).alias(f"seed_{t}") for t in _TOTALS],
         )
         rows = own.unionByName(before, allowMissingColumns=True)
-        seed = {t: F.col(f"seed_{t}") for t in _TOTALS}
-    typical = (F.col("high") + F.col("low") + F.col("close")) / F.lit(3.0)
-    indicators = standard_set(
-        timeframe,
-        windows,
-        turnover=F.coalesce(seed[_TOTALS[0]], typical * F.col("volume")),
-        traded=F.coalesce(seed[_TOTALS[1]], F.col("volume")),
-        totals=_TOTALS,
-    )
+        vwap = vwap_of(
+            turnover=f"coalesce(seed_{_TOTALS[0]}, {TYPICAL_PRICE} * volume)",
+            traded=f"coalesce(seed_{_TOTALS[1]}, volume)",
+            totals=_TOTALS,
+        )
+    indicators = standard_set(timeframe, windows, vwap)
     done = add_indicators(rows, *indicators, keys=keys, ts=ts, block_days=block_days)
     names = [c for i in indicators for c in i.outputs if c not in _TOTALS]
     length = max(max(i.lookback for i in indicators), 1)
