@@ -23,7 +23,9 @@ _BIN = "_bin"
 
 def order_bin(value: Column) -> Column:
     """A code that never decreases as the value grows; zero has its own."""
-    size = F.floor(F.log2(F.abs(value)) * F.lit(float(BINS_PER_OCTAVE))) + F.lit(_CODE_BASE)
+    # The bound keeps infinities among the codes.
+    octaves = F.least(F.log2(F.abs(value)), F.lit(1_025.0))
+    size = F.floor(octaves * F.lit(float(BINS_PER_OCTAVE))) + F.lit(_CODE_BASE)
     return (
         F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
     )
