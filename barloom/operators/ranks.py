@@ -3,9 +3,9 @@
 Values are first counted per *bin*, an order-preserving code of the value that
 needs no look at the data.  Running bin counts give every bin its rank offset,
 so a rank is an offset plus a position inside one bin, and a quantile touches
-only the bins that hold its neighbours.  Bins are fine (16,384 per power of two)
+only the bins that hold its neighbours.  Bins are fine (4,000 per factor of e)
 and ties are collapsed to counts before any bin is ordered, so a value that
-fills a third of a series is one row there.
+fills a third of a series is one row there.  Rows without a key are left out.
 """
 
 from __future__ import annotations
@@ -14,20 +14,25 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BINS_PER_OCTAVE = 16_384
+from barloom.schema import quoted
+
+BINS_PER_E_FOLD = 4_000
 # Beyond the exponent range of doubles, so positive codes stay positive.
-_CODE_BASE = 1_100 * BINS_PER_OCTAVE
+_CODE_BASE = 800 * BINS_PER_E_FOLD
 _SALTS = 16
 _BIN = "_bin"
 
 
-def order_bin(value: Column) -> Column:
+def order_bin(value: str) -> Column:
     """A code that never decreases as the value grows; zero has its own."""
-    # The bound keeps infinities among the codes.
-    octaves = F.least(F.log2(F.abs(value)), F.lit(1_025.0))
-    size = F.floor(octaves * F.lit(float(BINS_PER_OCTAVE))) + F.lit(_CODE_BASE)
-    return (
-        F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+    # Spark's ln is the strict one, equal on every machine and monotonic.  The
+    # bound keeps infinities among the codes.
+    size = (
+        f"(floor(least(ln(abs({value})), 750.0D) * {BINS_PER_E_FOLD}.0D) + {_CODE_BASE})"
+    )
+    return F.expr(
+        f"CASE WHEN {value} > 0 THEN {size} WHEN {value} < 0 THEN -{size}"
+        f" ELSE CAST(0 AS BIGINT) END"
     )
 
 
@@ -70,13 +75,21 @@ def has_few_series(df: DataFrame, keys: Sequence[str], limit: int = FEW_SERIES)
     return df.select(*keys).distinct().limit(limit + 1).count() <= limit
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have all keys.
+
+    A join on the keys asks for the same; saying it first lets all uses of a
+    frame share its shuffles.
+    """
+    return df.where(" AND ".join(f"{quoted(k)} IS NOT NULL" for k in keys))
+
+
 def _binned(long: DataFrame, keys: Sequence[str], value: str, spread: str) -> DataFrame:
-    known = long.where(F.col(value).isNotNull() & ~F.isnan(value))
-    return known.select(
-        *keys,
-        F.col(value).alias("_value"),
-        F.col(spread).alias("_spread"),
-        order_bin(F.col(value)).alias(_BIN),
+    named = with_keys(long, keys).select(
+        *keys, F.col(value).alias("_value"), F.col(spread).alias("_spread")
+    )
+    return named.where("_value IS NOT NULL AND NOT isnan(_value)").withColumn(
+        _BIN, order_bin("_value")
     )
 
 

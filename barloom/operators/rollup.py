@@ -50,7 +50,7 @@ def order_key(df: DataFrame, ts: str = TIMESTAMP, tiebreak: Sequence[str] = ())
 
 def drop_null_bars(df: DataFrame) -> DataFrame:
     """Remove bars that miss any of the four prices."""
-    return df.dropna(subset=list(PRICES))
+    return df.where(" AND ".join(f"{p} IS NOT NULL" for p in PRICES))
 
 
 def bucket_aggregates(ordering: str) -> list[Column]:

@@ -19,7 +19,14 @@ from barloom.functions.bar_columns import (
     scaled_level,
 )
 from barloom.functions.timegrid import bucket_start, clock_label, plus_days, step_seconds
-from barloom.schema import KEYS, OHLCV, TIMESTAMP, require_columns, require_window
+from barloom.schema import (
+    KEYS,
+    OHLCV,
+    TIMESTAMP,
+    indicator_columns,
+    require_columns,
+    require_window,
+)
 
 
 def head_rows(df: DataFrame, n: int = 5, *, ts: str = TIMESTAMP, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -126,6 +133,14 @@ def rsi_flags(df: DataFrame) -> DataFrame:
     return df.withColumns({"overbought": is_overbought(), "oversold": is_oversold()})
 
 
+def indicator_lines(
+    df: DataFrame, limit: int = 5, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
+) -> DataFrame:
+    """Close, the first few indicators of the frame, and RSI if it has one."""
+    shown = [*indicator_columns(df, keys, limit), *[c for c in ("rsi",) if c in df.columns]]
+    return df.select(*keys, ts, "close", *dict.fromkeys(shown))
+
+
 def scaled_first_rows(
     df: DataFrame,
     n: int = 20,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.functions.bar_columns import OVERBOUGHT, OVERSOLD, with_normal_quantile
 from barloom.operators.changes import with_returns
-from barloom.operators.ranks import exact_quantiles, ranked_points, spread_join
+from barloom.operators.ranks import exact_quantiles, ranked_points, spread_join, with_keys
 from barloom.schema import (
     KEYS,
     TIMEFRAME,
@@ -67,7 +67,7 @@ def describe(
     few: bool = False,
 ) -> DataFrame:
     """Count, null count, mean, std, min, exact quartiles and max of each column."""
-    long = unpivoted(df, columns, keys=keys, ts=ts)
+    long = unpivoted(with_keys(df, keys), columns, keys=keys, ts=ts)
     by = [*keys, "column_name"]
     moments = long.groupBy(*by).agg(
         *[
@@ -209,7 +209,11 @@ def histogram(
     Every bin is returned, also empty ones.
     """
     require_window(bins, "bins")
-    known = df.where(F.col(column).isNotNull()).select(*keys, ts, F.col(column).alias("_x"))
+    known = (
+        with_keys(df, keys)
+        .select(*keys, ts, F.col(column).alias("_x"))
+        .where(F.col("_x").isNotNull())
+    )
     low, high = _bin_edges(F.min("_x"), F.max("_x"))
     ranges = known.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi"))
     share = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
@@ -241,7 +245,7 @@ def distribution_summary(
     few: bool = False,
 ) -> DataFrame:
     """Count, mean and exact median: the marks drawn over a histogram."""
-    means = df.groupBy(*keys).agg(
+    means = with_keys(df, keys).groupBy(*keys).agg(
         F.count(column).alias("n_values"), F.avg(column).alias("mean")
     )
     medians = exact_quantiles(

@@ -356,6 +356,13 @@ def rsi_flags(spark, sf_dir):
     )
 
 
+@query
+def indicator_lines(spark, sf_dir):
+    """What an indicator chart draws: close, the first five indicators, RSI."""
+    metrics = indicators.standard_metrics(bars(spark, sf_dir, "5m"), "5m", **INTRADAY)
+    return rounded(shaping.indicator_lines(metrics))
+
+
 @query
 def clock_fields(spark, sf_dir):
     return thirty(spark, sf_dir).select(

@@ -453,6 +453,13 @@ FROM bars""")
     sql["rsi_flags"] = with_bars("30m", f""", {compact(14)}
 SELECT symbol, "timestamp", {r("rsi", "rsi")}, rsi > 70 AS overbought, rsi < 30 AS oversold
 FROM metrics""")
+    lines = ["close", "ma_6", "median_6", "vwap", "bb_middle", "bb_upper", "rsi"]
+    sql["indicator_lines"] = with_bars(
+        "5m",
+        f", {standard('5m')} SELECT symbol, \"timestamp\", "
+        + ", ".join(r(n, n) for n in lines)
+        + " FROM metrics",
+    )
     sql["clock_fields"] = with_bars("30m", """SELECT symbol, "timestamp",
        strftime("timestamp", '%H:%M') AS label, CAST(hour("timestamp") AS INTEGER) AS "hour",
        CAST(minute("timestamp") AS INTEGER) AS "minute",

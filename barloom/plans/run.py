@@ -28,7 +28,7 @@ from barloom.operators.rollup import (
     stack_frames,
 )
 from barloom.operators.series import BLOCK_DAYS
-from barloom.schema import KEYS, OHLCV, SESSION, TIMESTAMP, indicator_columns
+from barloom.schema import KEYS, OHLCV, SESSION, TIMESTAMP
 from barloom.functions.timegrid import session_of
 from barloom.sources.sinks import read_stored_bars, store_frames, write_bars
 
@@ -161,12 +161,10 @@ def chart_tables(
     }
     for tf in ("5m", "30m"):
         bars = frames[tf]
-        shown = indicator_columns(bars, keys, limit=5)
-        lines = dict.fromkeys([*shown, *[c for c in ("rsi",) if c in bars.columns]])
         tables[f"candles_{tf}"] = shaping.candles(
             bars.select(*keys, TIMESTAMP, *OHLCV), tf
         )
-        tables[f"indicators_{tf}"] = bars.select(*keys, TIMESTAMP, "close", *lines)
+        tables[f"indicators_{tf}"] = shaping.indicator_lines(bars, keys=keys)
     return tables
 
 

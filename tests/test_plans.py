@@ -63,6 +63,15 @@ def test_bars_are_rolled_up_once_per_query(spark):
     assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
 
 
+def test_a_histogram_shuffles_the_bars_once(spark):
+    moves = changes.with_returns(catalog.bars(spark, SF, "30m"), block_days=7)
+    df = stats.histogram(moves, few=True)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert final.count("Union") == 1
+
+
 def test_head_rows_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(shaping.first_rows(catalog.bars(spark, SF, "5m"), 20))
 

@@ -7,6 +7,7 @@ from conftest import START, collect, minute_rows
 from pyspark.sql import functions as F
 
 from barloom.operators import changes, indicators, quality, rollup, shaping
+from barloom.schema import indicator_columns, numeric_columns
 from barloom.sources import calendar
 
 
@@ -170,3 +171,14 @@ def test_head_and_shape(day):
     ]
     shape = only(shaping.frame_shape(day))
     assert (shape["n_rows"], shape["n_columns"]) == (390, 7)
+
+
+def test_columns_by_type_and_role(day):
+    metrics = indicators.standard_metrics(day, "1m")
+    assert numeric_columns(day) == ["open", "high", "low", "close", "volume"]
+    assert indicator_columns(metrics) == [
+        "ma_30", "median_30", "vwap", "bb_middle", "bb_upper", "bb_lower", "rsi",
+    ]
+    assert shaping.indicator_lines(metrics).columns[2:] == [
+        "close", "ma_30", "median_30", "vwap", "bb_middle", "bb_upper", "rsi",
+    ]

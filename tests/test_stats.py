@@ -58,7 +58,7 @@ def test_series_are_counted_up_to_the_limit(values):
 
 
 def test_order_bin_never_decreases(values):
-    rows = values.where("x is not null").withColumn("bin", ranks.order_bin(F.col("x")))
+    rows = values.where("x is not null").withColumn("bin", ranks.order_bin("x"))
     bins = [r["bin"] for r in rows.orderBy("x").collect()]
     assert bins == sorted(bins)
 
