@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# RSI limits, and half a candle's width as a share of the bar length.
 OVERBOUGHT = 70.0
 OVERSOLD = 30.0
 CANDLE_HALF_WIDTH = 0.4
@@ -73,7 +74,7 @@ def is_oversold(rsi="rsi") -> Column:
     return col(rsi) < F.lit(OVERSOLD)
 
 
-# Bar rules by name, in the order they are reported.
+# The bar rules by name, in the order they are reported.
 def bar_rules() -> dict[str, Column]:
     o, h, l, c, v = (F.col(n) for n in ("open", "high", "low", "close", "volume"))
     zero = F.lit(0)

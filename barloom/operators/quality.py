@@ -7,7 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.functions.bar_columns import bar_rules
-from barloom.functions.timegrid import session_of, step_seconds
+from barloom.functions.timegrid import (
+    bucket_offset,
+    epoch_seconds_sql,
+    session_of,
+    step_seconds,
+)
 from barloom.operators.changes import with_gap_seconds
 from barloom.schema import (
     KEYS,
@@ -19,6 +24,8 @@ from barloom.schema import (
     require_columns,
 )
 
+# How many bar lengths make a gap, how far VWAP may leave the price
+# range, and how much volume a roll-up may lose.
 GAP_FACTOR = 1.5
 VWAP_SLACK = 0.1
 VOLUME_TOLERANCE = 1
@@ -186,15 +193,22 @@ def bar_spacing(
 
 
 def session_counts(
-    df: DataFrame, expected_bars: int, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
+    df: DataFrame,
+    expected_bars: int,
+    timeframe: str,
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
 ) -> DataFrame:
-    """Bars per session against the expected number, and whether each is aligned."""
+    """Bars per session against the expected number, and how many start off the grid."""
+    off_grid = f"({epoch_seconds_sql(ts)} + {bucket_offset(timeframe)}) % {step_seconds(timeframe)}"
     return (
         df.groupBy(*keys, session_of(ts).alias(SESSION))
         .agg(
             F.count(F.lit(1)).alias("n_bars"),
             F.min(ts).alias("first_bar"),
             F.max(ts).alias("last_bar"),
+            F.expr(f"count_if({off_grid} <> 0) AS misaligned"),
         )
         .withColumn("count_ok", F.col("n_bars") == F.lit(expected_bars))
     )

@@ -25,6 +25,7 @@ from barloom.schema import (
 
 # Fixed value: bars in a trading year, 252 days of 390 minutes.
 BARS_PER_YEAR = 252 * 390
+# The quartiles described, and the bins of a returns histogram.
 DESCRIBE_QUANTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 HISTOGRAM_BINS = 30
 # Enough pairs to share a row's cost, few enough for generated code.

@@ -487,7 +487,7 @@ def spacing(spark, sf_dir):
 
 @query
 def session_counts(spark, sf_dir):
-    return quality.session_counts(thirty(spark, sf_dir), 48)
+    return quality.session_counts(thirty(spark, sf_dir), 48, "30m")
 
 
 @query
@@ -643,14 +643,21 @@ def report_export(spark, sf_dir):
 STREAM_LATENESS = "10 minutes"
 
 
-@query
-def streaming_bars(spark, sf_dir):
-    """Five-minute bars of the event files as a stream; windows the watermark closed."""
+def closed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event files as a stream of five-minute bars."""
     schema = table(spark, sf_dir, "events").schema
-    events = streaming.read_file_stream(spark, sf_dir, schema, pattern="events.parquet")
-    closed = streaming.stream_bars(
+    events = streaming.read_file_stream(
+        streaming.stream_session(spark), sf_dir, schema, pattern="events.parquet"
+    )
+    return streaming.stream_bars(
         ticks_of(events), "5m", lateness=STREAM_LATENESS, tiebreak=TICK_TIES
     )
+
+
+@query
+def streaming_bars(spark, sf_dir):
+    """Five-minute bars of the event files as a stream; windows the watermark closed."""
+    closed = closed_bars(spark, sf_dir)
     folder = sinks.shared_folder(spark, "stream")
     streaming.write_available(closed, f"{folder}/bars", f"{folder}/state")
     return spark.read.parquet(f"{folder}/bars")
@@ -659,11 +666,7 @@ def streaming_bars(spark, sf_dir):
 @query
 def streaming_metrics(spark, sf_dir):
     """Standard metrics of streamed bars, continued from batch to batch."""
-    schema = table(spark, sf_dir, "events").schema
-    events = streaming.read_file_stream(spark, sf_dir, schema, pattern="events.parquet")
-    closed = streaming.stream_bars(
-        ticks_of(events), "5m", lateness=STREAM_LATENESS, tiebreak=TICK_TIES
-    )
+    closed = closed_bars(spark, sf_dir)
     folder = sinks.shared_folder(spark, "stream")
     handler = metrics_handler(folder, "5m", **INTRADAY)
     streaming.write_batches(closed, handler, f"{folder}/state")

@@ -535,7 +535,9 @@ SELECT symbol, count(gap_seconds) AS n_steps,
 FROM gaps GROUP BY symbol""")
     sql["session_counts"] = with_bars("30m", """SELECT symbol,
        CAST("timestamp" AS DATE) AS session_date, count(*) AS n_bars,
-       min("timestamp") AS first_bar, max("timestamp") AS last_bar, count(*) = 48 AS count_ok
+       min("timestamp") AS first_bar, max("timestamp") AS last_bar,
+       count(*) FILTER (minute("timestamp") % 30 <> 0 OR second("timestamp") <> 0) AS misaligned,
+       count(*) = 48 AS count_ok
 FROM bars GROUP BY ALL""")
     complete = f""", {GAPS}
 SELECT symbol, count(*) AS n_bars, count(*) FILTER (gap_seconds > 90) AS gap_count,

@@ -20,6 +20,18 @@ from barloom.schema import KEYS, OHLCV, TIMESTAMP, require_columns
 _EVENT_TIME = "_event_time"
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with one state partition per core.
+
+    The number of state partitions is the shuffle setting at a stream's first
+    start and stays with its checkpoint.
+    """
+    child = spark.newSession()
+    cores = spark.sparkContext.defaultParallelism
+    child.conf.set("spark.sql.shuffle.partitions", str(cores))
+    return child
+
+
 def read_file_stream(
     spark: SparkSession,
     directory: str,

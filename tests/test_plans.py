@@ -104,15 +104,19 @@ def test_no_python_no_cross_join_no_single_task(spark, name):
 
 
 def test_operators_run_no_job(spark):
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup())
-    bars = catalog.bars(spark, SF, "30m")
-    moves = changes.with_returns(bars, block_days=7)
-    for df in (
-        indicators.standard_metrics(bars, "30m", block_days=7),
-        stats.describe(moves, ["returns"]),
-        stats.normal_points(moves),
-        stats.correlation_matrix(bars),
-    ):
-        assert logical(df)
-    assert len(tracker.getJobIdsForGroup()) - before <= 1  # the Parquet footer at most
+    bars = catalog.bars(spark, SF, "30m")  # reads a Parquet footer
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    try:
+        moves = changes.with_returns(bars, block_days=7)
+        for df in (
+            indicators.standard_metrics(bars, "30m", block_days=7),
+            rollup.roll_up_many(bars, ["1h", "1d"]),
+            stats.describe(moves, ["returns"]),
+            stats.histogram(moves),
+            stats.normal_points(moves),
+            stats.correlation_matrix(bars),
+        ):
+            assert logical(df)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

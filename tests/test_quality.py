@@ -91,8 +91,9 @@ def test_spacing_and_counts(day, timeframe, bars, step):
     rolled = rollup.roll_up(day, timeframe)
     row = only(quality.bar_spacing(rolled, timeframe))
     assert row["evenly_spaced"] and row["min_step_seconds"] == row["max_step_seconds"] == step
-    row = only(quality.session_counts(rolled, bars))
-    assert row["count_ok"] and row["first_bar"] == START
+    row = only(quality.session_counts(rolled, bars, timeframe))
+    assert row["count_ok"] and row["first_bar"] == START and row["misaligned"] == 0
+    assert only(quality.session_counts(rolled, bars, "7m"))["misaligned"] > 0
 
 
 def test_gaps(make_bars):

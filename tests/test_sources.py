@@ -76,7 +76,7 @@ def test_stored_run_equals_lazy_run(two_days, tmp_path):
     assert all(r["valid"] for r in stored.checks["metrics_5m"].collect())
 
 
-def test_run_keeps_the_reference_shapes(two_days):
+def test_run_of_many_symbols_has_all_frames(two_days):
     frames = run.run_symbols(two_days)
     assert {tf: df.count() for tf, df in frames.items()} == {"1m": 1560, "5m": 312, "30m": 52, "1d": 4}
     assert "rsi" in frames["5m"].columns and "rsi" not in frames["1m"].columns
