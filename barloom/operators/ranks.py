@@ -3,7 +3,7 @@
 Values are first counted per *bin*, an order-preserving code of the value that
 needs no look at the data.  Running bin counts give every bin its rank offset,
 so a rank is an offset plus a position inside one bin, and a quantile touches
-only the bins that hold its neighbours.  Bins are fine (4,000 per factor of e)
+only the bins that hold its neighbours.  Bins are fine (50,000 per factor of e)
 and ties are collapsed to counts before any bin is ordered, so a value that
 fills a third of a series is one row there.  Rows without a key are left out.
 """
@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.schema import quoted
 
-BINS_PER_E_FOLD = 4_000
+BINS_PER_E_FOLD = 50_000
 # Beyond the exponent range of doubles, so positive codes stay positive.
 _CODE_BASE = 800 * BINS_PER_E_FOLD
-_SALTS = 16
+_SALTS = 64
 _BIN = "_bin"
 
 
@@ -47,18 +47,15 @@ def spread_join(
     keys: Sequence[str],
     *,
     spread: str,
-    few: bool = False,
     salts: int = _SALTS,
 ) -> DataFrame:
-    """Inner join of many rows per key with few.
+    """Inner join of many rows per key with one.
 
-    ``few`` says that the number of keys was checked (:func:`has_few_series`), so
-    the small side may be broadcast and the large one is not shuffled.  Otherwise
-    both sides shuffle by key and salt: one hot key is spread over ``salts``
-    tasks, and only the small side is repeated.
+    Both sides meet by key and salt: one hot key is spread over ``salts`` tasks,
+    and only the small side is repeated.  There is no broadcast hint, since the
+    small side grows with the number of keys; Spark broadcasts it when its
+    measured size passes the threshold.
     """
-    if few:
-        return large.join(F.broadcast(per_key), [*keys], "inner")
     salted = large.withColumn("_salt", salt_of(spread, salts))
     copies = per_key.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -66,15 +63,6 @@ def spread_join(
     return salted.join(copies, [*keys, "_salt"], "inner").drop("_salt")
 
 
-# A few rows of some 100 bytes for each of these stay far below a broadcast's limits.
-FEW_SERIES = 20_000
-
-
-def has_few_series(df: DataFrame, keys: Sequence[str], limit: int = FEW_SERIES) -> bool:
-    """Count the series, up to the limit.  Runs a job: ask a small table, such as daily bars."""
-    return df.select(*keys).distinct().limit(limit + 1).count() <= limit
-
-
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that have all keys.
 
@@ -84,43 +72,60 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(" AND ".join(f"{quoted(k)} IS NOT NULL" for k in keys))
 
 
-def _binned(long: DataFrame, keys: Sequence[str], value: str, spread: str) -> DataFrame:
-    named = with_keys(long, keys).select(
-        *keys, F.col(value).alias("_value"), F.col(spread).alias("_spread")
-    )
+def _binned(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    named = with_keys(rows, keys).select(*keys, F.col(value).alias("_value"))
     return named.where("_value IS NOT NULL AND NOT isnan(_value)").withColumn(
         _BIN, order_bin("_value")
     )
 
 
-def _bin_offsets(binned: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each bin's first rank (from 0), its size, and the size of the whole series."""
-    sizes = binned.groupBy(*keys, _BIN).agg(F.count(F.lit(1)).alias("_size"))
+def _values_and_offsets(
+    rows: DataFrame, keys: Sequence[str], value: str
+) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their copies, and each bin's first rank (from 0) and size.
+
+    Values are counted on the map side before they are shuffled.
+    """
+    by = [*keys, _BIN]
+    collapsed = (
+        _binned(rows, keys, value)
+        .groupBy(*by, "_value")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy(_BIN).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sizes.withColumns(
-        {
-            "_start": F.sum("_size").over(upto) - F.col("_size"),
-            "_total": F.sum("_size").over(whole),
-        }
+    offsets = (
+        collapsed.groupBy(*by)
+        .agg(F.sum("_copies").alias("_size"))
+        .withColumns(
+            {
+                "_start": F.sum("_size").over(upto) - F.col("_size"),
+                "_total": F.sum("_size").over(whole),
+            }
+        )
     )
+    return collapsed, offsets
+
+
+def _with_first_rank(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the first rank (from 0) of each distinct value of a bin."""
+    upto = (
+        Window.partitionBy(*keys, _BIN)
+        .orderBy("_value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    before = F.sum("_copies").over(upto) - F.col("_copies")
+    return candidates.withColumn("_first", F.col("_start") + before)
 
 
 def exact_quantiles(
-    long: DataFrame,
+    rows: DataFrame,
     quantiles: Mapping[str, float],
     *,
     keys: Sequence[str],
     value: str,
-    spread: str,
-    few: bool = False,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per key, one column each.
-
-    ``spread`` names a column that varies within a key (the timestamp); it only
-    steers where rows go.  ``few`` as in :func:`spread_join`.
-    """
-    binned = _binned(long, keys, value, spread)
+    """Linearly interpolated quantiles per key, one column each."""
     position = {
         name: F.lit(float(q)) * (F.col("_total") - 1) for name, q in quantiles.items()
     }
@@ -133,99 +138,61 @@ def exact_quantiles(
             ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_size"))
         )
     )
-    wanted = (
-        _bin_offsets(binned, keys)
-        .withColumn("_ranks", inside)
-        .where(F.size("_ranks") > 0)
-        .select(*keys, _BIN, "_start", "_total", "_ranks")
+    collapsed, offsets = _values_and_offsets(rows, keys, value)
+    wanted = offsets.withColumn("_ranks", inside).where(F.size("_ranks") > 0).drop("_size")
+    candidates = collapsed.join(wanted, [*keys, _BIN], "inner")
+    picked = (
+        _with_first_rank(candidates, keys)
+        .withColumn("_rank", F.explode("_ranks"))
+        .where("_rank >= _first AND _rank < _first + _copies")
     )
-    bin_keys = [*keys, _BIN]
-    candidates = (
-        spread_join(binned, wanted, bin_keys, spread="_spread", few=few)
-        .groupBy(*bin_keys, "_start", "_total", "_ranks", "_value")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    upto = (
-        Window.partitionBy(*bin_keys)
-        .orderBy("_value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = candidates.withColumn(
-        "_end", F.col("_start") + F.sum("_copies").over(upto)
-    ).withColumn("_first", F.col("_end") - F.col("_copies"))
-    picked = ranked.select(
-        *keys, "_total", "_value", "_first", "_end", F.explode("_ranks").alias("_rank")
-    ).where((F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end")))
     ends = []
     for name, p in position.items():
-        ends.append(F.max(F.when(F.col("_rank") == F.floor(p), F.col("_value"))).alias(f"_lo_{name}"))
-        ends.append(F.max(F.when(F.col("_rank") == F.ceil(p), F.col("_value"))).alias(f"_hi_{name}"))
-    found = picked.groupBy(*keys, "_total").agg(*ends)
-    return found.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{name}")
-                + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (p - F.floor(p))
-            ).alias(name)
-            for name, p in position.items()
-        ],
+        for side, rank in (("lo", F.floor(p)), ("hi", F.ceil(p))):
+            found = F.when(F.col("_rank") == rank, F.col("_value"))
+            ends.append(F.max(found).alias(f"_{side}_{name}"))
+    return (
+        picked.groupBy(*keys, "_total")
+        .agg(*ends)
+        .select(
+            *keys,
+            *[
+                (
+                    F.col(f"_lo_{name}")
+                    + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (p - F.floor(p))
+                ).alias(name)
+                for name, p in position.items()
+            ],
+        )
     )
 
 
-def ranked_values(
-    rows: DataFrame, *, keys: Sequence[str], value: str, spread: str
-) -> DataFrame:
+def ranked_values(rows: DataFrame, *, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values with their copies, first rank (from 1) and series size.
 
     Columns: keys, ``value``, ``copies``, ``first_rank``, ``n``.
     """
-    collapsed = (
-        _binned(rows, keys, value, spread)
-        .groupBy(*keys, _BIN, "_value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    sizes = collapsed.groupBy(*keys, _BIN).agg(F.sum("copies").alias("_size"))
-    whole = Window.partitionBy(*keys)
-    offsets = sizes.select(
-        *keys,
-        _BIN,
-        (
-            F.sum("_size").over(
-                whole.orderBy(_BIN).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            - F.col("_size")
-        ).alias("_start"),
-        F.sum("_size").over(whole).alias("n"),
-    )
-    before = (
-        Window.partitionBy(*keys, _BIN)
-        .orderBy("_value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return collapsed.join(offsets, [*keys, _BIN], "inner").select(
+    collapsed, offsets = _values_and_offsets(rows, keys, value)
+    placed = collapsed.join(offsets.drop("_size"), [*keys, _BIN], "inner")
+    return _with_first_rank(placed, keys).select(
         *keys,
         F.col("_value").alias("value"),
-        "copies",
-        (F.col("_start") + F.sum("copies").over(before) - F.col("copies") + 1).alias(
-            "first_rank"
-        ),
-        "n",
+        F.col("_copies").alias("copies"),
+        (F.col("_first") + 1).alias("first_rank"),
+        F.col("_total").alias("n"),
     )
 
 
 _RUN = 4_096
 
 
-def ranked_points(
-    rows: DataFrame, *, keys: Sequence[str], value: str, spread: str
-) -> DataFrame:
+def ranked_points(rows: DataFrame, *, keys: Sequence[str], value: str) -> DataFrame:
     """One row per value in rank order: keys, ``rank`` (from 1), ``value``, ``n``.
 
     A value with many copies is cut into runs that are spread again before they
     are written out row by row.
     """
-    runs = ranked_values(rows, keys=keys, value=value, spread=spread).select(
+    runs = ranked_values(rows, keys=keys, value=value).select(
         *keys,
         "value",
         "n",

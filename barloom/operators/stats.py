@@ -46,17 +46,15 @@ def bar_stats(df: DataFrame, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP)
 
 
 def unpivoted(
-    df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
+    df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """One row per key, time and column, with the value as a double."""
+    """One row per input row and column, with the value as a double."""
     require_columns(df, columns)
     cells = [
         f"struct({_literal(c)} AS column_name, CAST({quoted(c)} AS DOUBLE) AS value)"
         for c in columns
     ]
-    return df.selectExpr(
-        *[quoted(k) for k in keys], quoted(ts), f"inline(array({', '.join(cells)}))"
-    )
+    return df.selectExpr(*[quoted(k) for k in keys], f"inline(array({', '.join(cells)}))")
 
 
 def describe(
@@ -64,11 +62,9 @@ def describe(
     columns: Sequence[str],
     *,
     keys: Sequence[str] = KEYS,
-    ts: str = TIMESTAMP,
-    few: bool = False,
 ) -> DataFrame:
     """Count, null count, mean, std, min, exact quartiles and max of each column."""
-    long = unpivoted(with_keys(df, keys), columns, keys=keys, ts=ts)
+    long = unpivoted(with_keys(df, keys), columns, keys=keys)
     by = [*keys, "column_name"]
     moments = long.groupBy(*by).agg(
         *[
@@ -84,16 +80,16 @@ def describe(
         ]
     )
     quartiles = exact_quantiles(
-        long, DESCRIBE_QUANTILES, keys=by, value="value", spread=ts, few=few
+        long, DESCRIBE_QUANTILES, keys=by, value="value"
     )
     return moments.join(quartiles, by, "left")
 
 
 def describe_indicators(
-    df: DataFrame, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP, few: bool = False
+    df: DataFrame, *, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """:func:`describe` on every indicator column present."""
-    return describe(df, indicator_columns(df, keys), keys=keys, ts=ts, few=few)
+    return describe(df, indicator_columns(df, keys), keys=keys)
 
 
 def risk_metrics(
@@ -203,7 +199,6 @@ def histogram(
     bins: int = HISTOGRAM_BINS,
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
-    few: bool = False,
 ) -> DataFrame:
     """Equal-width bins between each symbol's extremes; the last one is closed.
 
@@ -219,7 +214,7 @@ def histogram(
     ranges = known.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi"))
     share = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     counts = (
-        spread_join(known, ranges, keys, spread=ts, few=few)
+        spread_join(known, ranges, keys, spread=ts)
         .withColumn(
             "bin",
             F.least(F.floor(share * F.lit(float(bins))), F.lit(bins - 1)).cast("int"),
@@ -242,24 +237,20 @@ def distribution_summary(
     column: str = "returns",
     *,
     keys: Sequence[str] = KEYS,
-    ts: str = TIMESTAMP,
-    few: bool = False,
 ) -> DataFrame:
     """Count, mean and exact median: the marks drawn over a histogram."""
     means = with_keys(df, keys).groupBy(*keys).agg(
         F.count(column).alias("n_values"), F.avg(column).alias("mean")
     )
-    medians = exact_quantiles(
-        df, {"median": 0.5}, keys=keys, value=column, spread=ts, few=few
-    )
+    medians = exact_quantiles(df, {"median": 0.5}, keys=keys, value=column)
     return means.join(medians, [*keys], "left")
 
 
 def normal_points(
-    df: DataFrame, column: str = "returns", *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
+    df: DataFrame, column: str = "returns", *, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Ordered values against normal order-statistic medians (Filliben's estimate)."""
-    points = ranked_points(df, keys=keys, value=column, spread=ts)
+    points = ranked_points(df, keys=keys, value=column)
     n = F.col("n").cast("double")
     top = F.pow(F.lit(0.5), F.lit(1.0) / n)
     share = (

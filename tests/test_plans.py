@@ -65,7 +65,7 @@ def test_bars_are_rolled_up_once_per_query(spark):
 
 def test_a_histogram_shuffles_the_bars_once(spark):
     moves = changes.with_returns(catalog.bars(spark, SF, "30m"), block_days=7)
-    df = stats.histogram(moves, few=True)
+    df = stats.histogram(moves)
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1

@@ -40,10 +40,9 @@ def by_symbol(df):
     return held
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_quantiles_are_exact(values, few):
+def test_quantiles_are_exact(values):
     probabilities = {"a": 0.0, "b": 0.013, "c": 0.25, "d": 0.5, "e": 0.9, "f": 1.0}
-    out = ranks.exact_quantiles(values, probabilities, keys=["symbol"], value="x", spread="i", few=few)
+    out = ranks.exact_quantiles(values, probabilities, keys=["symbol"], value="x")
     got = {r["symbol"]: r for r in out.collect()}
     held = by_symbol(values)
     assert got.keys() == held.keys()
@@ -52,11 +51,6 @@ def test_quantiles_are_exact(values, few):
             assert got[symbol][name] == pytest.approx(np.quantile(xs, p), rel=1e-12), (symbol, p)
 
 
-def test_series_are_counted_up_to_the_limit(values):
-    assert ranks.has_few_series(values, ["symbol"], 5)
-    assert not ranks.has_few_series(values, ["symbol"], 4)
-
-
 def test_order_bin_never_decreases(values):
     rows = values.where("x is not null").withColumn("bin", ranks.order_bin("x"))
     bins = [r["bin"] for r in rows.orderBy("x").collect()]
@@ -65,7 +59,7 @@ def test_order_bin_never_decreases(values):
 
 def test_ranked_points_hold_every_row(values, monkeypatch):
     monkeypatch.setattr(ranks, "_RUN", 64)
-    out = ranks.ranked_points(values, keys=["symbol"], value="x", spread="i")
+    out = ranks.ranked_points(values, keys=["symbol"], value="x")
     for symbol, xs in by_symbol(values).items():
         rows = out.where(F.col("symbol") == symbol).orderBy("rank").collect()
         assert [r["rank"] for r in rows] == list(range(1, len(xs) + 1))
@@ -116,10 +110,9 @@ def test_describe_counts_nulls(make_bars):
     assert (row["n"], row["null_count"]) == (8, 1)
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_histogram_matches_numpy(make_bars, few):
+def test_histogram_matches_numpy(make_bars):
     moves = changes.with_returns(make_bars(minute_rows("A") + sparse_rows("B")))
-    out = stats.histogram(moves, few=few)
+    out = stats.histogram(moves)
     for symbol in "AB":
         xs = [r["returns"] for r in moves.where(F.col("symbol") == symbol).collect() if r["returns"] is not None]
         counts, edges = np.histogram(xs, bins=30)
