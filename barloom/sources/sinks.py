@@ -9,7 +9,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from barloom.functions.timegrid import session_of
-from barloom.operators.rollup import stack_frames
 from barloom.schema import SESSION, TIMEFRAME, TIMESTAMP
 
 _FORMATS = ("csv", "json", "parquet")
