@@ -1,0 +1,30 @@
+"""SQL (DuckDB) for the queries of this package that SQL can express."""
+
+from __future__ import annotations
+
+ORACLES: dict[str, str] = {}
+
+ORACLES["op9_url_filter"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), cleaned AS (
+  SELECT page_id, regexp_extract(coalesce(rest, ''), '^[^?#]*') AS rest FROM parts
+), split AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         CASE WHEN contains(rest, '/') THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path
+  FROM cleaned
+), judged AS (
+  SELECT *, CASE
+    WHEN '.' || host LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN '.' || host LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN '.' || host LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN '.' || host LIKE '%.net' AND starts_with(path, '/') THEN 'net/'
+  END AS rule FROM split
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
