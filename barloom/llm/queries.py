@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import ann, html, mixing, secrets, topk, toxicity, urls
+from barloom.llm import ann, html, mixing, pieces, secrets, topk, toxicity, urls
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
