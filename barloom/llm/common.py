@@ -40,6 +40,30 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+# Bits of a sieve: its maps are a megabyte in all, whatever the number of keys.
+SIEVE_BITS = 1 << 23
+
+
+def sieve(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows of df whose key may be in `wanted`, none of those lost, others by chance.
+
+    Keys are longs, hashes for choice. A bit is set for every wanted key; the maps of bits
+    have a fixed size and are broadcast, so rows are left out before they are shuffled.
+    The more keys there are, the fewer rows it keeps back.
+    """
+    def slot(c: Column) -> Column:
+        return F.pmod(c, F.lit(SIEVE_BITS)) + 1
+
+    bits = wanted.select(slot(F.col(wanted_key)).alias("slot"))
+    maps = bits.groupBy(F.bitmap_bucket_number("slot").alias("_map_")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits_")
+    )
+    place = F.bitmap_bit_position(slot(key))
+    byte = F.conv(F.hex(F.substr("_bits_", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = df.withColumn("_map_", F.bitmap_bucket_number(slot(key))).join(F.broadcast(maps), "_map_")
+    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).drop("_map_", "_bits_")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable id of each end of the links (a, b): columns id, component.
 

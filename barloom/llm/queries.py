@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import ann, html, jaccard, mixing, pieces, secrets, topk, toxicity, urls
+from barloom.llm import ann, html, jaccard, mixing, pieces, repeats, secrets, topk, toxicity, urls
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+@query
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents"))

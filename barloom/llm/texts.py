@@ -12,10 +12,11 @@ CHUNK = 1 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, and offsets, one more than texts. Null is empty."""
+    """Bytes of all texts (or binaries), and offsets, one more than texts. Null is empty."""
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_string())
+    if not pa.types.is_large_binary(column.type):
+        column = column.cast(pa.large_string())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     if len(at) == 0:
