@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +16,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, written to the shared checkpoint folder, without their lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session (spark.checkpoint.dir), which all executors share.
 
-    The folder is the one of the session (spark.checkpoint.dir). Where none is set, a
-    local session (tests) gets a temporary one; a cluster has to name one.
+    Where none is set, a local session (tests) gets a temporary one; a cluster has to name one.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
             if not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="barloom-checkpoint-")
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows of df, as a table of their own in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of df, written to the shared checkpoint folder, without their lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -45,23 +58,30 @@ SIEVE_BITS = 1 << 23
 
 
 def sieve(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: str) -> DataFrame:
-    """The rows of df whose key may be in `wanted`, none of those lost, others by chance.
+    """The rows of df whose key may be in `wanted`, none of those lost, others by chance."""
+    return marked(df, key, wanted, wanted_key).where("_maybe_").drop("_maybe_")
+
+
+def marked(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """df with a column _maybe_: false where the key is surely not in `wanted`.
 
     Keys are longs, hashes for choice. A bit is set for every wanted key; the maps of bits
     have a fixed size and are broadcast, so rows are left out before they are shuffled.
     The more keys there are, the fewer rows it keeps back.
     """
+
     def slot(c: Column) -> Column:
         return F.pmod(c, F.lit(SIEVE_BITS)) + 1
 
-    bits = wanted.select(slot(F.col(wanted_key)).alias("slot"))
+    bits = wanted.where(F.col(wanted_key).isNotNull()).select(slot(F.col(wanted_key)).alias("slot"))
     maps = bits.groupBy(F.bitmap_bucket_number("slot").alias("_map_")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits_")
     )
     place = F.bitmap_bit_position(slot(key))
     byte = F.conv(F.hex(F.substr("_bits_", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    met = df.withColumn("_map_", F.bitmap_bucket_number(slot(key))).join(F.broadcast(maps), "_map_")
-    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).drop("_map_", "_bits_")
+    met = df.withColumn("_map_", F.bitmap_bucket_number(slot(key))).join(F.broadcast(maps), "_map_", "left")
+    maybe = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return met.withColumn("_maybe_", maybe).drop("_map_", "_bits_")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
