@@ -83,7 +83,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         nonlocal linked
         line = " ".join("".join(text).split())
         if line:
-            out.append((line, len(line) if in_article else max(0, len(line) - linked), in_article))
+            out.append((line, len(line) if in_article else len(line.replace(" ", "")) - linked, in_article))
         text.clear()
         linked = 0
 

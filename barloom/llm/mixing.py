@@ -143,3 +143,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("doc_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         copies.alias("copies"), "part", (copies * F.col("size") + F.col("part")).alias("taken"),
     )
+
+
+def repeat(docs: DataFrame, text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
+    """The rows of docs, all columns, each as often as the mix takes it: not at all, or up to MOST times.
+
+    Rows are told apart by a hash of all columns; of equal rows one stands for all.
+    """
+    keyed = docs.withColumn("_row_", F.xxhash64(*docs.columns))
+    mixed = mix(keyed, "_row_", text_col, source_col, seed, whole=True)
+    copies = mixed.groupBy("_row_").agg(F.sum("copies").cast("int").alias("_copies_"), F.count("*").alias("_rows_"))
+    met = keyed.join(cut(copies.where("_copies_ > 0")), "_row_")
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies_"))).alias("_copy_")
+    single = met.where("_rows_ = 1").select(*docs.columns, again).drop("_copy_")
+    equal = met.where("_rows_ > 1").dropDuplicates(["_row_"]).select(*docs.columns, again).drop("_copy_")
+    return single.union(equal)

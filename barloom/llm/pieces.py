@@ -76,6 +76,7 @@ class Trie(NamedTuple):
     targets: np.ndarray
     piece: np.ndarray
     code: np.ndarray
+    known: np.ndarray  # by code point: whether the character is a piece
     split: re.Pattern
 
 
@@ -89,7 +90,6 @@ def _slots(keys: np.ndarray, size: int) -> np.ndarray:
 def build_trie(vocabulary: Vocabulary) -> Trie:
     """States are prefixes of pieces. Codes: 0 ends a part, 1 to 256 are bytes, then characters."""
     characters = sorted({c for piece in vocabulary.normal for c in piece})
-    single = [c for c in characters if c in vocabulary.normal]
     code = np.zeros(0x110000, np.int64)
     code[_BYTE : _BYTE + 256] = np.arange(1, 257)
     code[[ord(c) for c in characters]] = np.arange(257, 257 + len(characters))
@@ -121,9 +121,12 @@ def build_trie(vocabulary: Vocabulary) -> Trie:
         rest = np.ones(len(todo), bool)
         rest[free[first]] = False
         todo, to, at = todo[rest], to[rest], (at[rest] + 1) % size
-    known = "".join(re.escape(c) for c in single if c not in (" ", _MARK))
+    single = [" ", *(c for c in characters if c in vocabulary.normal and c not in (" ", _MARK))]
+    is_known = np.zeros(len(code), bool)
+    is_known[[ord(c) for c in single]] = True
+    known = "".join(map(re.escape, single[1:]))
     split = re.compile(f" *[{known}]{{1,{LONGEST}}}| {{1,{LONGEST}}}|.", re.S)
-    return Trie(keys, targets, np.array(piece, np.int32), code, split)
+    return Trie(keys, targets, np.array(piece, np.int32), code, is_known, split)
 
 
 def _step(trie: Trie, width: int, state: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -247,6 +250,10 @@ def backward(lattice: Lattice, part: np.ndarray, key: np.ndarray, draw: bool = T
     return out, count
 
 
+def _by_bytes(character: str) -> str:
+    return "".join(chr(_BYTE + b) for b in character.encode())
+
+
 def _parts(rows: list[str], trie: Trie) -> Iterator[tuple[int, int, list[str]]]:
     """Row, number of the first part, and parts, at most PARTS at a time."""
     for i, text in enumerate(rows):
@@ -270,7 +277,7 @@ def encode_rows(rows: list[str], keys: np.ndarray, trie: Trie, log_weight: np.nd
     def settle() -> None:
         nonlocal size
         if held:
-            names = ["".join(chr(_BYTE + b) for b in w.encode()) if len(w) == 1 and not trie.code[ord(w)] else w for w in number]
+            names = [_by_bytes(w) if len(w) == 1 and not trie.known[ord(w)] else w for w in number]
             part = np.concatenate([p for _, _, p in held])
             place = np.concatenate([np.arange(at, at + len(p), dtype=np.uint64) for _, at, p in held])
             row = np.repeat([i for i, _, _ in held], [len(p) for _, _, p in held])

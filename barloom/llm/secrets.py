@@ -193,17 +193,38 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Texts are read whole and once; only spans and p-values are kept for the second step.
     """
     found = cut(docs.select(F.col(id_col), base_spans(F.col(text_col)).alias("base"), _candidates(F.col(text_col)).alias("tokens")))
-    levels = _levels(found)
+    return found.select(id_col, "base", spans_of(F.col("base"), F.col("tokens"), _levels(found)).alias("spans"))
+
+
+def spans_of(base: Column, tokens: Column, levels: list[float]) -> Column:
+    """Fixed patterns' spans and those of the accepted tokens apart from them, in order."""
 
     def wanted(t: Column) -> Column:
         allowed = F.lit(levels[0])
         for i in range(1, len(STRATA)):
             allowed = F.when(_stratum(t["n"]) == i, levels[i]).otherwise(allowed)
-        apart = ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+        apart = ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
         return (t["p_ordinary"] <= allowed) & (t["p_random"] >= REJECT) & apart
 
-    more = _spans(F.filter("tokens", wanted), len(BASE), "random")
-    return found.select(id_col, "base", F.sort_array(F.concat("base", more)).alias("spans"))
+    return F.sort_array(F.concat(base, _spans(F.filter(tokens, wanted), len(BASE), "random")))
+
+
+def mask(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns of docs; in the texts every span that `scan` finds is replaced by the mark.
+
+    size_col, if there, becomes the length of a text that was changed. Other texts,
+    null ones too, stay as they are.
+    """
+    text = F.col(text_col)
+    levels = _levels(cut(docs.select(_candidates(text).alias("tokens")).where(F.size("tokens") > 0)))
+    found = docs.withColumn("_base_", base_spans(text)).withColumn("_tokens_", _candidates(text))
+    found = found.withColumn("_spans_", spans_of(F.col("_base_"), F.col("_tokens_"), levels))
+    hit = F.size("_spans_") > 0
+    out = {text_col: F.when(hit, redact(text, F.col("_spans_"), mark)).otherwise(text)}
+    if size_col in docs.columns:
+        kind = docs.schema[size_col].dataType
+        out[size_col] = F.when(hit, F.length(out[text_col]).cast(kind)).otherwise(F.col(size_col))
+    return found.withColumns(out).select(docs.columns)
 
 
 def span_text(spans: Column) -> Column:

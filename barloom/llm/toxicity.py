@@ -256,3 +256,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return scored.select(
         id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose score is below THRESHOLD."""
+    scored = score(docs, fit(docs, labels, id_col, text_col), text_col, "_toxicity_")
+    return scored.where(F.col("_toxicity_") < THRESHOLD).drop("_toxicity_")
