@@ -29,9 +29,9 @@ def bucket_start(ts: str | Column, timeframe: str) -> Column:
     Windows are counted from the epoch; weeks start on Monday.  Catalyst takes
     one ``window`` call per projection.
     """
-    seconds = step_seconds(timeframe)
-    if timeframe.endswith("w"):
-        return F.window(ts, f"{seconds} seconds", startTime="4 days")["start"]
+    seconds, offset = step_seconds(timeframe), bucket_offset(timeframe)
+    if offset:
+        return F.window(ts, f"{seconds} seconds", startTime=f"{-offset} seconds")["start"]
     return F.window(ts, f"{seconds} seconds")["start"]
 
 
@@ -74,8 +74,8 @@ def seconds_between(start: str, end: str) -> Column:
 
 
 def bucket_offset(timeframe: str) -> int:
-    """Seconds to add so that weeks start on Monday; other buckets count from the epoch."""
-    return 3 * 86_400 if timeframe.endswith("w") else 0
+    """Seconds to add so that weeks count from Monday, 5 January 1970; other buckets from the epoch."""
+    return -4 * 86_400 if timeframe.endswith("w") else 0
 
 
 def bucket_start_of_bar(ts: str, timeframe: str) -> Column:

@@ -68,11 +68,16 @@ def validate_bars(df: DataFrame, *, keys: Sequence[str] = KEYS) -> DataFrame:
 def validate_rollup(
     fine: DataFrame,
     coarse: DataFrame,
-    expected_bars: int,
+    expected_bars: int | None,
     *,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Bar count, the ten bar rules, and volume conserved within one."""
+    """Bar count, the ten bar rules, and volume conserved within one.
+
+    Every symbol of either side has a row, null symbols too: one that was not rolled up
+    has no bars, one that only the coarse frame has misses all its volume in the source.
+    Without ``expected_bars`` any number but zero is right.
+    """
     require_columns(coarse, OHLCV)
     rules = bar_rules()
     rolled = coarse.groupBy(*keys).agg(
@@ -84,13 +89,17 @@ def validate_rollup(
         F.coalesce(F.sum("volume"), F.lit(0)).alias("source_volume")
     )
     difference = F.abs(F.col("source_volume") - F.col("rolled_volume"))
+    # Grouping, unlike a join, takes null keys as equal; there are two rows a key at most.
+    both = source.unionByName(rolled, allowMissingColumns=True).groupBy(*keys).agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("source_volume", "n_bars")],
+        *[holds(F.col(name)).alias(name) for name in rules],
+        F.coalesce(F.max("rolled_volume"), F.lit(0)).alias("rolled_volume"),
+    )
+    count_ok = F.col("n_bars") > 0 if expected_bars is None else F.col("n_bars") == expected_bars
     return (
-        source.join(rolled, [*keys], "left")
-        .fillna(0, subset=["n_bars", "rolled_volume"])
-        .fillna(True, subset=list(rules))
-        .withColumns(
+        both.withColumns(
             {
-                "bar_count_ok": F.col("n_bars") == F.lit(expected_bars),
+                "bar_count_ok": count_ok,
                 "volume_difference": difference,
                 "volume_ok": difference <= VOLUME_TOLERANCE,
             }
@@ -100,11 +109,15 @@ def validate_rollup(
 
 
 def validate_metrics(
-    df: DataFrame, *, keys: Sequence[str] = KEYS, indicators: Sequence[str] | None = None
+    df: DataFrame,
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    indicators: Sequence[str] | None = None,
 ) -> DataFrame:
     """No missing values, VWAP near the price range, RSI in 0..100, bands in order."""
     require_columns(df, ["high", "low", "vwap", "rsi", "bb_upper", "bb_lower"])
-    names = list(indicators) if indicators is not None else indicator_columns(df, keys)
+    names = list(indicators) if indicators is not None else indicator_columns(df, [*keys, ts])
     middle = "bb_middle" if "bb_middle" in df.columns else "ma"
     ordered = (F.col("bb_lower") <= F.col(middle)) & (F.col(middle) <= F.col("bb_upper"))
     stats = df.groupBy(*keys).agg(

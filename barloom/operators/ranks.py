@@ -5,7 +5,8 @@ needs no look at the data.  Running bin counts give every bin its rank offset,
 so a rank is an offset plus a position inside one bin, and a quantile touches
 only the bins that hold its neighbours.  Bins are fine (50,000 per factor of e)
 and ties are collapsed to counts before any bin is ordered, so a value that
-fills a third of a series is one row there.  Rows without a key are left out.
+fills a third of a series is one row there.  A null key is a key like any other; null
+and NaN values are missing and have no rank.
 """
 
 from __future__ import annotations
@@ -63,17 +64,21 @@ def spread_join(
     return salted.join(copies, [*keys, "_salt"], "inner").drop("_salt")
 
 
-def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that have all keys.
+def wrapped_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key as a struct of itself, which is never null.
 
-    A join on the keys asks for the same; saying it first lets all uses of a
-    frame share its shuffles.
+    Joins on the keys then find null keys as well, and stay plain equi-joins that share
+    the shuffles of groupings by the same keys.
     """
-    return df.where(" AND ".join(f"{quoted(k)} IS NOT NULL" for k in keys))
+    return df.withColumns({k: F.struct(F.col(quoted(k)).alias("key")) for k in keys})
+
+
+def unwrapped_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumns({k: F.col(quoted(k))["key"] for k in keys})
 
 
 def _binned(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    named = with_keys(rows, keys).select(*keys, F.col(value).alias("_value"))
+    named = rows.select(*keys, F.col(value).alias("_value"))
     return named.where("_value IS NOT NULL AND NOT isnan(_value)").withColumn(
         _BIN, order_bin("_value")
     )
@@ -126,6 +131,19 @@ def exact_quantiles(
     value: str,
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, one column each."""
+    return unwrapped_keys(
+        wrapped_quantiles(wrapped_keys(rows, keys), quantiles, keys=keys, value=value), keys
+    )
+
+
+def wrapped_quantiles(
+    rows: DataFrame,
+    quantiles: Mapping[str, float],
+    *,
+    keys: Sequence[str],
+    value: str,
+) -> DataFrame:
+    """:func:`exact_quantiles` of rows whose keys are not null, e.g. :func:`wrapped_keys`."""
     position = {
         name: F.lit(float(q)) * (F.col("_total") - 1) for name, q in quantiles.items()
     }
@@ -172,15 +190,16 @@ def ranked_values(rows: DataFrame, *, keys: Sequence[str], value: str) -> DataFr
 
     Columns: keys, ``value``, ``copies``, ``first_rank``, ``n``.
     """
-    collapsed, offsets = _values_and_offsets(rows, keys, value)
+    collapsed, offsets = _values_and_offsets(wrapped_keys(rows, keys), keys, value)
     placed = collapsed.join(offsets.drop("_size"), [*keys, _BIN], "inner")
-    return _with_first_rank(placed, keys).select(
+    ranked = _with_first_rank(placed, keys).select(
         *keys,
         F.col("_value").alias("value"),
         F.col("_copies").alias("copies"),
         (F.col("_first") + 1).alias("first_rank"),
         F.col("_total").alias("n"),
     )
+    return unwrapped_keys(ranked, keys)
 
 
 _RUN = 4_096
@@ -190,9 +209,18 @@ def ranked_points(rows: DataFrame, *, keys: Sequence[str], value: str) -> DataFr
     """One row per value in rank order: keys, ``rank`` (from 1), ``value``, ``n``.
 
     A value with many copies is cut into runs that are spread again before they
-    are written out row by row.
+    are written out row by row; all other rows stay where they are.
     """
-    runs = ranked_values(rows, keys=keys, value=value).select(
+    ranked = ranked_values(rows, keys=keys, value=value)
+    few = ranked.where(F.col("copies") <= _RUN).select(
+        *keys,
+        F.explode(
+            F.sequence(F.col("first_rank"), F.col("first_rank") + F.col("copies") - 1)
+        ).alias("rank"),
+        "value",
+        "n",
+    )
+    runs = ranked.where(F.col("copies") > _RUN).select(
         *keys,
         "value",
         "n",
@@ -206,6 +234,7 @@ def ranked_points(rows: DataFrame, *, keys: Sequence[str], value: str) -> DataFr
     last = F.least(
         first + F.lit(_RUN - 1), F.col("first_rank") + F.col("copies") - F.lit(1)
     )
-    return runs.repartition(*keys, "value", "_run").select(
+    many = runs.repartition(*keys, "value", "_run").select(
         *keys, F.explode(F.sequence(first, last)).alias("rank"), "value", "n"
     )
+    return few.unionByName(many)

@@ -11,7 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.functions.bar_columns import OVERBOUGHT, OVERSOLD, with_normal_quantile
 from barloom.operators.changes import with_returns
-from barloom.operators.ranks import exact_quantiles, ranked_points, spread_join, with_keys
+from barloom.operators.ranks import (
+    ranked_points,
+    spread_join,
+    unwrapped_keys,
+    wrapped_keys,
+    wrapped_quantiles,
+)
 from barloom.schema import (
     KEYS,
     TIMEFRAME,
@@ -63,8 +69,12 @@ def describe(
     *,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Count, null count, mean, std, min, exact quartiles and max of each column."""
-    long = unpivoted(with_keys(df, keys), columns, keys=keys)
+    """Count, null count, mean, std, min, exact quartiles and max of each column.
+
+    NaN is missing, like null, in all of them.
+    """
+    long = unpivoted(wrapped_keys(df, keys), columns, keys=keys)
+    long = long.withColumn("value", F.expr("nullif(value, double('NaN'))"))
     by = [*keys, "column_name"]
     moments = long.groupBy(*by).agg(
         *[
@@ -79,17 +89,17 @@ def describe(
             )
         ]
     )
-    quartiles = exact_quantiles(
+    quartiles = wrapped_quantiles(
         long, DESCRIBE_QUANTILES, keys=by, value="value"
     )
-    return moments.join(quartiles, by, "left")
+    return unwrapped_keys(moments.join(quartiles, by, "left"), keys)
 
 
 def describe_indicators(
-    df: DataFrame, *, keys: Sequence[str] = KEYS
+    df: DataFrame, *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
 ) -> DataFrame:
     """:func:`describe` on every indicator column present."""
-    return describe(df, indicator_columns(df, keys), keys=keys)
+    return describe(df, indicator_columns(df, [*keys, ts]), keys=keys)
 
 
 def risk_metrics(
@@ -202,13 +212,13 @@ def histogram(
 ) -> DataFrame:
     """Equal-width bins between each symbol's extremes; the last one is closed.
 
-    Every bin is returned, also empty ones.
+    Every bin is returned, also empty ones.  Null and NaN values are missing.
     """
     require_window(bins, "bins")
     known = (
-        with_keys(df, keys)
+        wrapped_keys(df, keys)
         .select(*keys, ts, F.col(column).alias("_x"))
-        .where(F.col("_x").isNotNull())
+        .where("_x IS NOT NULL AND NOT isnan(_x)")
     )
     low, high = _bin_edges(F.min("_x"), F.max("_x"))
     ranges = known.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi"))
@@ -229,7 +239,8 @@ def histogram(
         (F.col("_lo") + width * F.col("bin")).alias("bin_start"),
         (F.col("_lo") + width * (F.col("bin") + 1)).alias("bin_end"),
     )
-    return every.join(counts, [*keys, "bin"], "left").fillna(0, subset=["n_values"])
+    counted = every.join(counts, [*keys, "bin"], "left").fillna(0, subset=["n_values"])
+    return unwrapped_keys(counted, keys)
 
 
 def distribution_summary(
@@ -239,11 +250,11 @@ def distribution_summary(
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Count, mean and exact median: the marks drawn over a histogram."""
-    means = with_keys(df, keys).groupBy(*keys).agg(
-        F.count(column).alias("n_values"), F.avg(column).alias("mean")
-    )
-    medians = exact_quantiles(df, {"median": 0.5}, keys=keys, value=column)
-    return means.join(medians, [*keys], "left")
+    known = F.when(~F.isnan(column), F.col(column))
+    wrapped = wrapped_keys(df, keys)
+    means = wrapped.groupBy(*keys).agg(F.count(known).alias("n_values"), F.avg(known).alias("mean"))
+    medians = wrapped_quantiles(wrapped, {"median": 0.5}, keys=keys, value=column)
+    return unwrapped_keys(means.join(medians, [*keys], "left"), keys)
 
 
 def normal_points(

@@ -1,7 +1,8 @@
 """Named queries over the test tables, one or more per operator.
 
 Every query takes a session and a directory of Parquet tables, reads whole
-tables, and returns a lazy frame.  ``oracle.py`` holds the same questions in SQL.
+tables, and returns a frame, lazy but where it has to write files or run a stream first.
+``oracle.py`` holds the same questions in SQL.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_of(table(spark, sf_dir, "events"))
 
 
-def ticks_of(events: DataFrame) -> DataFrame:
+def ticks_of(events: DataFrame, **bounds) -> DataFrame:
     return as_ticks(
         events,
         symbol="event_type",
@@ -76,6 +77,7 @@ def ticks_of(events: DataFrame) -> DataFrame:
         price="value",
         volume=F.get_json_object("props", "$.k"),
         tiebreak=TICK_TIES,
+        **bounds,
     )
 
 
@@ -151,6 +153,24 @@ def ohlc_multi_custom(spark, sf_dir):
     )
 
 
+@query
+def ohlc_weeks(spark, sf_dir):
+    """Bars of one and several weeks, alone and in a cascade."""
+    source = ticks(spark, sf_dir)
+    frames = rollup.roll_up_frames(source, ["1d", "1w", "2w", "4w"], tiebreak=TICK_TIES)
+    frames["2w alone"] = rollup.roll_up(source, "2w", tiebreak=TICK_TIES)
+    return rollup.stack_frames(frames)
+
+
+@query
+def run_range(spark, sf_dir):
+    """Five-minute bars of a range of days; the range reaches the scan."""
+    events = table(spark, sf_dir, "events")
+    return rollup.roll_up(
+        ticks_of(events, start="2024-01-10", end="2024-01-17"), "5m", tiebreak=TICK_TIES
+    )
+
+
 @query
 def ohlc_daily_brand(spark, sf_dir):
     return brand_bars(spark, sf_dir)
@@ -466,6 +486,30 @@ def validate_rollup(spark, sf_dir):
     return quality.validate_rollup(ticks(spark, sf_dir), bars(spark, sf_dir, "1d"), 30)
 
 
+@query
+def validate_rollup_odd(spark, sf_dir):
+    """A null symbol on both sides, one that was not rolled up, and one that has no source."""
+    source = ticks(spark, sf_dir)
+    daily = rollup.roll_up(source, "1d", tiebreak=TICK_TIES)
+    no_name = F.when(F.col(SYMBOL) != "click", F.col(SYMBOL)).alias(SYMBOL)
+    named = F.when(F.col(SYMBOL) == "view", "ghost").when(F.col(SYMBOL) != "click", F.col(SYMBOL)).alias(SYMBOL)
+    others = [c for c in daily.columns if c != SYMBOL]
+    return quality.validate_rollup(
+        source.select(no_name, *[c for c in source.columns if c != SYMBOL]), daily.select(named, *others), 30
+    )
+
+
+@query
+def describe_odd(spark, sf_dir):
+    """Prices of ticks of which some have no symbol, no price or NaN for one."""
+    source = ticks(spark, sf_dir)
+    odd = source.select(
+        F.when(F.col(SYMBOL) != "click", F.col(SYMBOL)).alias(SYMBOL),
+        F.expr("CASE WHEN event_id % 11 = 0 THEN double('NaN') WHEN event_id % 13 = 0 THEN NULL ELSE close END AS close"),
+    )
+    return rounded(stats.describe(odd, ["close"]))
+
+
 @query
 def validate_metrics(spark, sf_dir):
     metrics = indicators.standard_metrics(bars(spark, sf_dir, "5m"), "5m", **INTRADAY)
@@ -641,13 +685,14 @@ def report_export(spark, sf_dir):
 
 
 STREAM_LATENESS = "10 minutes"
+STATE_PARTITIONS = 8
 
 
 def closed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event files as a stream of five-minute bars."""
     schema = table(spark, sf_dir, "events").schema
     events = streaming.read_file_stream(
-        streaming.stream_session(spark), sf_dir, schema, pattern="events.parquet"
+        streaming.stream_session(spark, STATE_PARTITIONS), sf_dir, schema, pattern="events.parquet"
     )
     return streaming.stream_bars(
         ticks_of(events), "5m", lateness=STREAM_LATENESS, tiebreak=TICK_TIES
@@ -663,6 +708,18 @@ def streaming_bars(spark, sf_dir):
     return spark.read.parquet(f"{folder}/bars")
 
 
+@query
+def streaming_all(spark, sf_dir):
+    """The same to the end of the data: the windows that were still open, from a batch."""
+    closed = closed_bars(spark, sf_dir)
+    folder = sinks.shared_folder(spark, "stream")
+    stream = streaming.write_available(closed, f"{folder}/bars", f"{folder}/state")
+    last = streaming.open_bars(
+        ticks(spark, sf_dir), "5m", streaming.watermark_of(stream), tiebreak=TICK_TIES
+    )
+    return spark.read.parquet(f"{folder}/bars").unionByName(last)
+
+
 @query
 def streaming_metrics(spark, sf_dir):
     """Standard metrics of streamed bars, continued from batch to batch."""

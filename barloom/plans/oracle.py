@@ -41,7 +41,9 @@ def r(expression: str, name: str | None = None) -> str:
 
 def bars(timeframe: str, name: str = "bars", source: str = "ticks") -> str:
     bucket = (
-        WEEKLY
+        f"time_bucket(INTERVAL '{timeframe[0]} weeks', \"timestamp\", TIMESTAMP '1970-01-05')"
+        if timeframe in ("2w", "4w")
+        else WEEKLY
         if timeframe == "1w"
         else f"time_bucket(INTERVAL '{INTERVALS[timeframe]}', \"timestamp\")"
     )
@@ -346,6 +348,31 @@ SELECT symbol, source_volume, rolled.* EXCLUDE (symbol), n_bars = 30 AS bar_coun
 FROM source JOIN rolled USING (symbol)""")
 
 
+def validate_rollup_odd_sql() -> str:
+    """Null, ghost and missing symbols: a full outer join on keys that may be null."""
+    rules = ", ".join(f"{holds(rule)} AS {name}" for name, rule in RULES.items())
+    kept = ", ".join(f"coalesce(rolled.{name}, true) AS {name}" for name in RULES)
+    every = " AND ".join(RULES)
+    return with_bars("1d", f""", renamed AS (
+  SELECT CASE WHEN symbol = 'view' THEN 'ghost' WHEN symbol <> 'click' THEN symbol END AS symbol,
+         bars.* EXCLUDE (symbol) FROM bars),
+rolled AS (
+  SELECT symbol, count(*) AS n_bars, {rules}, CAST(sum(volume) AS BIGINT) AS rolled_volume
+  FROM renamed GROUP BY symbol),
+source AS (
+  SELECT CASE WHEN symbol <> 'click' THEN symbol END AS symbol,
+         CAST(sum(volume) AS BIGINT) AS source_volume FROM ticks GROUP BY ALL),
+met AS (
+  SELECT coalesce(source.symbol, rolled.symbol) AS symbol,
+         coalesce(source_volume, 0) AS source_volume, coalesce(n_bars, 0) AS n_bars, {kept},
+         coalesce(rolled_volume, 0) AS rolled_volume
+  FROM source FULL JOIN rolled ON source.symbol IS NOT DISTINCT FROM rolled.symbol)
+SELECT met.*, n_bars = 30 AS bar_count_ok, abs(source_volume - rolled_volume) AS volume_difference,
+       abs(source_volume - rolled_volume) <= 1 AS volume_ok,
+       n_bars = 30 AND {every} AND abs(source_volume - rolled_volume) <= 1 AS valid
+FROM met""")
+
+
 def oracles() -> dict[str, str]:
     sql: dict[str, str] = {}
     every_bar = f"SELECT {BAR_COLUMNS} FROM bars"
@@ -355,6 +382,10 @@ def oracles() -> dict[str, str]:
     sql["ohlc_multi_custom"] = (
         f"WITH {TICKS}, {stacked(['2m', '15m', '1h', '1w'])} SELECT * FROM stacked"
     )
+    sql["ohlc_weeks"] = f"""WITH {TICKS}, {stacked(['1d', '1w', '2w', '4w'])}
+SELECT * FROM stacked UNION ALL SELECT *, '2w alone' AS timeframe FROM bars_2w"""
+    in_days = TICKS.replace("FROM events", "FROM events WHERE ts >= '2024-01-10' AND ts < '2024-01-17'")
+    sql["run_range"] = with_bars("5m", every_bar, in_days)
     sql["ohlc_daily_brand"] = with_bars("1d", every_bar, BRAND_TICKS)
     sql["ohlc_daily_orders"] = with_bars("1d", every_bar, ORDER_TICKS)
 
@@ -521,6 +552,7 @@ spine AS (
        {holds(high)} AND {holds(low)} AND {holds(price)} AS valid
 FROM bars GROUP BY symbol""")
     sql["validate_rollup"] = validate_rollup_sql()
+    sql["validate_rollup_odd"] = validate_rollup_odd_sql()
     sql["validate_metrics"] = validate_metrics_sql()
     sql["range_check"] = f"""WITH {TICKS}, {stacked(['1m', '5m', '30m', '1d'])}, ranges AS (
   SELECT symbol, timeframe, min(low) AS low, max(high) AS high FROM stacked GROUP BY ALL)
@@ -551,6 +583,9 @@ SELECT symbol, timeframe, count(*) AS n_bars, min("timestamp") AS first_bar,
        CAST(sum(volume) AS BIGINT) AS total_volume, {r("avg(volume)", "mean_volume")}
 FROM stacked GROUP BY symbol, timeframe"""
     sql["describe_prices"] = with_bars("30m", described("bars", list(OHLCV)))
+    odd = """, odd AS (SELECT CASE WHEN symbol <> 'click' THEN symbol END AS symbol,
+  CASE WHEN tie % 11 = 0 OR tie % 13 = 0 THEN NULL ELSE price END AS close FROM ticks)"""
+    sql["describe_odd"] = f"WITH {TICKS}{odd} " + described("odd", ["close"])
     sql["describe_returns"] = moves(described("moves", ["returns"]))
     sql["describe_indicators"] = with_bars(
         "5m", f", {standard('5m')} " + described("metrics", ["ma_6", "median_6", *STANDARD_TAIL])
@@ -652,5 +687,6 @@ SELECT * FROM base JOIN means USING (symbol)"""
     closed = """WHERE "timestamp" + INTERVAL '5 minutes'
       <= (SELECT max("timestamp") FROM ticks) - INTERVAL '10 minutes'"""
     sql["streaming_bars"] = with_bars("5m", f"{every_bar} {closed}")
+    sql["streaming_all"] = sql["ohlc_5m"]
     sql["streaming_metrics"] = f"{sql['metrics_standard']} {closed}"
     return sql

@@ -27,7 +27,7 @@ from barloom.operators.rollup import (
     stack_frames,
 )
 from barloom.operators.series import BLOCK_DAYS
-from barloom.schema import KEYS, OHLCV, SESSION, TIMESTAMP
+from barloom.schema import KEYS, OHLCV, SESSION, TIMEFRAME, TIMESTAMP
 from barloom.functions.timegrid import session_of
 from barloom.sources.sinks import read_stored_bars, store_frames, write_bars
 
@@ -64,7 +64,8 @@ def build_frames(
         return roll_up_frames(source, timeframes, tiebreak=tiebreak, keys=keys, ts=ts)
     stacked = roll_up_many(source, timeframes, tiebreak=tiebreak, keys=keys, ts=ts)
     write_bars(stacked, store, ts=ts)
-    stored = read_stored_bars(source.sparkSession, store).drop(SESSION)
+    fields = [f for f in stacked.schema.fields if f.name != TIMEFRAME]
+    stored = read_stored_bars(source.sparkSession, store, bars=fields).drop(SESSION)
     return split_frames(stored, timeframes)
 
 
@@ -86,14 +87,25 @@ def add_compact_metrics(
 
 
 def check_tables(
-    frames: Mapping[str, DataFrame], *, keys: Sequence[str] = KEYS
+    frames: Mapping[str, DataFrame], *, keys: Sequence[str] = KEYS, ts: str = TIMESTAMP
 ) -> dict[str, DataFrame]:
-    """Bar, range and metric checks of the enriched frames."""
+    """Bar, roll-up, range, spacing, repetition and metric checks of the enriched frames."""
+    minute = frames["1m"]
+    coarse = {tf: df for tf, df in frames.items() if tf != "1m"}
     return {
-        "bars": quality.validate_bars(frames["1m"], keys=keys),
+        "bars": quality.validate_bars(minute, keys=keys),
+        **{
+            f"rollup_{tf}": quality.validate_rollup(minute, df, None, keys=keys)
+            for tf, df in coarse.items()
+        },
+        **{
+            f"spacing_{tf}": quality.bar_spacing(frames[tf], tf, keys=keys, ts=ts)
+            for tf in METRIC_FRAMES
+        },
+        "repeated": minute.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n_bars")).where("n_bars > 1"),
         "ranges": quality.range_consistency(frames, keys=keys),
-        "metrics_5m": quality.validate_metrics(frames["5m"], keys=keys),
-        "metrics_30m": quality.validate_metrics(frames["30m"], keys=keys),
+        "metrics_5m": quality.validate_metrics(frames["5m"], keys=keys, ts=ts),
+        "metrics_30m": quality.validate_metrics(frames["30m"], keys=keys, ts=ts),
     }
 
 
@@ -101,31 +113,32 @@ def report_tables(
     frames: Mapping[str, DataFrame],
     *,
     keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
     **series,
 ) -> dict[str, DataFrame]:
     """What the text reports and the dashboard print, as tables."""
     minute, five, thirty = frames["1m"], frames["5m"], frames["30m"]
-    bars = {tf: df.select(*keys, TIMESTAMP, *OHLCV) for tf, df in frames.items()}
-    returns = with_returns(bars["1m"], keys=keys, **series)
+    bars = {tf: df.select(*keys, ts, *OHLCV) for tf, df in frames.items()}
+    returns = with_returns(bars["1m"], keys=keys, ts=ts, **series)
     return {
         "overview": stats.stack_reports(
-            {tf: stats.bar_stats(df, keys=keys) for tf, df in bars.items()}
+            {tf: stats.bar_stats(df, keys=keys, ts=ts) for tf, df in bars.items()}
         ),
         "bar_counts": stats.bar_ratio(stack_frames(bars), list(frames), keys=keys),
         "price_statistics": stats.describe(minute, OHLCV[:4], keys=keys),
         "volume_statistics": stats.describe(minute, ["volume"], keys=keys),
         "returns_statistics": stats.describe(returns, ["returns"], keys=keys),
-        "risk": stats.risk_metrics(bars["1m"], keys=keys, **series),
-        "completeness": quality.completeness(minute, "1m", keys=keys),
+        "risk": stats.risk_metrics(bars["1m"], keys=keys, ts=ts, **series),
+        "completeness": quality.completeness(minute, "1m", keys=keys, ts=ts),
         "indicator_analysis": stats.stack_reports(
             {
                 "5m": _plain_names(stats.indicator_summary(five, keys=keys)),
                 "30m": _plain_names(stats.indicator_summary(thirty, keys=keys)),
             }
         ),
-        "indicator_statistics": stats.describe_indicators(five, keys=keys),
-        "price_levels": shaping.scaled_first_rows(five, keys=keys),
-        "dashboard": stats.quick_stats(bars["1m"], five, keys=keys, **series),
+        "indicator_statistics": stats.describe_indicators(five, keys=keys, ts=ts),
+        "price_levels": shaping.scaled_first_rows(five, keys=keys, ts=ts),
+        "dashboard": stats.quick_stats(bars["1m"], five, keys=keys, ts=ts, **series),
     }
 
 
@@ -142,15 +155,16 @@ def chart_tables(
     frames: Mapping[str, DataFrame],
     *,
     keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
     **series,
 ) -> dict[str, DataFrame]:
     """The data behind every chart, reduced in Spark as far as the chart allows."""
-    minute = frames["1m"].select(*keys, TIMESTAMP, *OHLCV)
-    moves = rolling_volatility(minute, keys=keys, **series)
+    minute = frames["1m"].select(*keys, ts, *OHLCV)
+    moves = rolling_volatility(minute, keys=keys, ts=ts, **series)
     points = stats.normal_points(moves, keys=keys)
     tables = {
-        "returns": moves.select(*keys, TIMESTAMP, "returns", "volatility"),
-        "returns_histogram": stats.histogram(moves, keys=keys),
+        "returns": moves.select(*keys, ts, "returns", "volatility"),
+        "returns_histogram": stats.histogram(moves, keys=keys, ts=ts),
         "returns_marks": stats.distribution_summary(moves, keys=keys),
         "normal_points": points,
         "normal_line": stats.normal_fit(points, keys=keys),
@@ -159,9 +173,9 @@ def chart_tables(
     for tf in ("5m", "30m"):
         bars = frames[tf]
         tables[f"candles_{tf}"] = shaping.candles(
-            bars.select(*keys, TIMESTAMP, *OHLCV), tf
+            bars.select(*keys, ts, *OHLCV), tf
         )
-        tables[f"indicators_{tf}"] = shaping.indicator_lines(bars, keys=keys)
+        tables[f"indicators_{tf}"] = shaping.indicator_lines(bars, keys=keys, ts=ts)
     return tables
 
 
@@ -188,9 +202,9 @@ def run_bars(
         enriched = store_frames(enriched, f"{store.rstrip('/')}/metrics")
     return BarRun(
         frames=enriched,
-        checks=check_tables(enriched, keys=keys),
-        reports=report_tables(enriched, keys=keys, **series),
-        charts=chart_tables(enriched, keys=keys, **series),
+        checks=check_tables(enriched, keys=keys, ts=ts),
+        reports=report_tables(enriched, keys=keys, ts=ts, **series),
+        charts=chart_tables(enriched, keys=keys, ts=ts, **series),
     )
 
 
@@ -204,11 +218,18 @@ def stacked_metrics(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_symbols(
-    source: DataFrame, *, tiebreak: Sequence[str] = (), store: str | None = None, **series
+    source: DataFrame,
+    *,
+    tiebreak: Sequence[str] = (),
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    store: str | None = None,
+    **series,
 ) -> dict[str, DataFrame]:
     """All symbols at once: minute and daily bars, 5m and 30m bars with compact metrics."""
-    frames = build_frames(source, tiebreak=tiebreak, store=store)
-    return add_compact_metrics(frames, MANY_SYMBOL_WINDOWS, **series)
+    bars_at = f"{store.rstrip('/')}/bars" if store else None
+    frames = build_frames(source, tiebreak=tiebreak, keys=keys, ts=ts, store=bars_at)
+    return add_compact_metrics(frames, MANY_SYMBOL_WINDOWS, keys=keys, ts=ts, **series)
 
 
 def batch_metrics(

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from barloom.functions.timegrid import session_of
-from barloom.schema import SESSION, TIMEFRAME, TIMESTAMP
+from barloom.schema import BAR_SCHEMA, SESSION, TIMEFRAME, TIMESTAMP
 
 _FORMATS = ("csv", "json", "parquet")
 
@@ -40,17 +40,16 @@ def write_bars(
     *,
     ts: str = TIMESTAMP,
     mode: str = "overwrite",
-    files_per_session: int = 8,
 ) -> None:
     """A long bar table as Parquet by timeframe and session, for later pruned reads.
 
     Rows are gathered by directory first, so that a task does not hold a file
-    open for every session; a hash of the time spreads a session over files.
+    open for every session.  The gathering is a rebalance: adaptive execution splits
+    a session that is large over as many files as its size asks for.
     """
     dated = stacked.withColumn(SESSION, session_of(ts))
-    file_of = F.pmod(F.xxhash64(ts), F.lit(files_per_session))
     (
-        dated.repartition(TIMEFRAME, SESSION, file_of)
+        dated.hint("rebalance", TIMEFRAME, SESSION)
         .write.mode(mode)
         .partitionBy(TIMEFRAME, SESSION)
         .parquet(path)
@@ -71,18 +70,20 @@ def store_frames(frames: Mapping[str, DataFrame], path: str) -> dict[str, DataFr
 
 
 def read_stored_bars(
-    spark: SparkSession, path: str, timeframes: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    timeframes: Sequence[str] | None = None,
+    *,
+    bars: Sequence[T.StructField] | None = None,
 ) -> DataFrame:
-    """Bars written by :func:`write_bars`; naming timeframes prunes directories."""
+    """Bars written by :func:`write_bars`; naming timeframes prunes directories.
+
+    ``bars`` are the stored columns, if other than those of the bar schema.
+    """
     # Directory names such as 1d would be guessed to be numbers.
-    named = {TIMEFRAME: T.StringType(), SESSION: T.DateType()}
-    schema = T.StructType(
-        [
-            T.StructField(f.name, named.get(f.name, f.dataType))
-            for f in spark.read.parquet(path).schema.fields
-        ]
-    )
-    stored = spark.read.schema(schema).parquet(path)
+    named = [T.StructField(TIMEFRAME, T.StringType()), T.StructField(SESSION, T.DateType())]
+    fields = list(bars if bars is not None else BAR_SCHEMA.fields)
+    stored = spark.read.schema(T.StructType([*fields, *named])).parquet(path)
     return stored if timeframes is None else stored.where(F.col(TIMEFRAME).isin(*timeframes))
 
 
@@ -107,7 +108,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "barloom")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

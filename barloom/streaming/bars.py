@@ -9,26 +9,29 @@ before the state shuffle, so a hot symbol costs one row per window and task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.functions.timegrid import epoch_micros_sql, naive_utc, step_seconds
-from barloom.operators.rollup import bucket_aggregates, drop_null_bars, order_key
+from barloom.operators.rollup import bucket_aggregates, drop_null_bars, order_key, roll_up
 from barloom.schema import KEYS, OHLCV, TIMESTAMP, require_columns
+from barloom.sources.ticks import in_range
 
 _EVENT_TIME = "_event_time"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application with one state partition per core.
+def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of the same application for streams with this many state partitions.
 
-    The number of state partitions is the shuffle setting at a stream's first
-    start and stays with its checkpoint.
+    The number stays with a stream's checkpoint for good, so it has to be chosen for the
+    largest cluster the stream will run on.  The session keeps the progress of many
+    batches, for :func:`late_rows` to count.
     """
     child = spark.newSession()
-    cores = spark.sparkContext.defaultParallelism
-    child.conf.set("spark.sql.shuffle.partitions", str(cores))
+    child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    child.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     return child
 
 
@@ -73,10 +76,46 @@ def stream_bars(
     return drop_null_bars(bars.select(*keys, start.alias(ts), *OHLCV))
 
 
-def write_available(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+class LateRowsError(RuntimeError):
+    """Rows came after the watermark had passed their window and were left out."""
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """How many (partly aggregated) rows the watermark dropped in this run of a stream."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
+def watermark_of(query: StreamingQuery) -> datetime | None:
+    """The time up to which windows are closed, naive in UTC; None before any data."""
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    if not marks:
+        return None
+    return datetime.fromisoformat(max(marks).replace("Z", "+00:00")).replace(tzinfo=None)
+
+
+def _finish(query: StreamingQuery, allow_late: bool) -> StreamingQuery:
+    query.awaitTermination()
+    dropped = late_rows(query)
+    if dropped and not allow_late:
+        raise LateRowsError(
+            f"{dropped} rows came later than the watermark allows and are in no bar; "
+            "allow more lateness, or roll the files up in a batch"
+        )
+    return query
+
+
+def write_available(
+    bars: DataFrame, path: str, checkpoint: str, *, allow_late: bool = False
+) -> StreamingQuery:
     """Process all files that are there, append closed bars to ``path``, and stop.
 
-    A later call with the same checkpoint continues where this one ended.
+    A later call with the same checkpoint continues where this one ended.  Rows that
+    came too late raise :class:`LateRowsError`, after all bars were written, unless
+    ``allow_late``; :func:`late_rows` counts them.
     """
     query = (
         bars.writeStream.format("parquet")
@@ -86,19 +125,45 @@ def write_available(bars: DataFrame, path: str, checkpoint: str) -> StreamingQue
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query
+    return _finish(query, allow_late)
+
+
+def open_bars(
+    ticks: DataFrame,
+    timeframe: str,
+    watermark: datetime | None,
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """The bars that a stream had not closed when its data ended, from the same ticks in a batch.
+
+    They end after the ``watermark`` (:func:`watermark_of`), so only the ticks of the last
+    windows are read.  After they are added to its bars the stream is complete and must
+    not be continued.
+    """
+    if watermark is not None:
+        step = timedelta(seconds=step_seconds(timeframe))
+        ticks = in_range(ticks, ts, watermark - step, None)
+    bars = roll_up(ticks, timeframe, keys=keys, ts=ts, tiebreak=tiebreak)
+    if watermark is None:
+        return bars
+    return bars.where(F.col(ts) > F.lit(watermark - step).cast("timestamp_ntz"))
 
 
 def write_batches(
     bars: DataFrame,
     handle,
     checkpoint: str,
+    *,
+    allow_late: bool = False,
 ) -> StreamingQuery:
     """Give each batch of newly closed bars to ``handle(frame, batch_id)`` and stop.
 
     Row-count windows are not allowed on a stream; a handler may compute them
-    over a stored table, or per closed session.
+    over a stored table, or per closed session.  Late rows are treated as in
+    :func:`write_available`.
     """
     query = (
         bars.writeStream.outputMode("append")
@@ -107,5 +172,4 @@ def write_batches(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query
+    return _finish(query, allow_late)
