@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions.timegrid import seconds_between, session_of
-from barloom.operators.indicators import Indicator, add_indicators
+from barloom.operators.indicators import Indicator, add_indicators, rolling_volatility_of
 from barloom.operators.series import over_series
 from barloom.schema import (
     KEYS,
@@ -132,27 +132,27 @@ def with_gap_seconds(
     )
 
 
-def _average_and_returns(window: int) -> Indicator:
+def rolling_volatility(df: DataFrame, window: int = 20, **series) -> DataFrame:
+    """Add ``returns``, by the rule of :func:`with_returns`, and their ``volatility``."""
+    return add_indicators(with_returns(df, **series), rolling_volatility_of(window), **series)
+
+
+def _average_returns(window: int) -> Indicator:
     require_window(window)
     return Indicator(
         lambda w: [
-            {
-                "_average": f"avg(close) {w.last(window)}",
-                "_close_before": f"lag(close) {w.ordered}",
-            },
+            {"_average": f"avg(close) {w.last(window)}"},
             {"_average_before": f"lag(_average) {w.ordered}"},
         ],
-        outputs={
-            "returns": "try_divide(close, _close_before) - 1.0D",
-            "ma_returns": "try_divide(_average, _average_before) - 1.0D",
-        },
+        outputs={"ma_returns": "try_divide(_average, _average_before) - 1.0D"},
         lookback=window,
     )
 
 
 def smoothness(df: DataFrame, window: int = 30, *, keys: Sequence[str] = KEYS, **series) -> DataFrame:
     """Deviation of moving-average returns against that of price returns, per series."""
-    both = add_indicators(df, _average_and_returns(window), keys=keys, **series)
+    known = with_returns(df, keys=keys, **series)
+    both = add_indicators(known, _average_returns(window), keys=keys, **series)
     return (
         both.groupBy(*keys)
         .agg(

@@ -50,6 +50,7 @@ def add_indicators(
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
     block_days: int | None = DEFAULT_BLOCK_DAYS,
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Append the columns of several indicators in one pass over each series.
 
@@ -65,6 +66,7 @@ def add_indicators(
         lookback=max(i.lookback for i in indicators),
         carry={name: c for i in indicators for name, c in i.carry.items()},
         block_days=block_days,
+        tiebreak=tiebreak,
     )
 
 
@@ -178,23 +180,19 @@ def rsi_of(window: int = 14, name: str = "rsi") -> Indicator:
 def rolling_volatility_of(
     window: int = 20, returns: str = "returns", name: str = "volatility"
 ) -> Indicator:
-    """Returns and their deviation over ``window`` rows, null until all are known."""
+    """Deviation of a column of returns over ``window`` rows, null until all are known."""
     require_window(window)
     known, spread = f"_known_{window}", f"_return_spread_{window}"
     return Indicator(
         lambda w: [
-            {"_close_before": f"lag(close) {w.ordered}"},
-            {"_return": "try_divide(close, _close_before) - 1.0D"},
             {
-                known: f"count(_return) {w.last(window)}",
-                spread: f"stddev_samp(_return) {w.last(window)}",
+                known: f"count({quoted(returns)}) {w.last(window)}",
+                spread: f"stddev_samp({quoted(returns)}) {w.last(window)}",
             },
         ],
-        outputs={
-            returns: "_return",
-            name: f"CASE WHEN {known} = {window} THEN {spread} END",
-        },
-        lookback=window,
+        outputs={name: f"CASE WHEN {known} = {window} THEN {spread} END"},
+        lookback=window - 1,
+        needs=(returns,),
     )
 
 
@@ -218,15 +216,17 @@ def vwap(
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
     block_days: int | None = DEFAULT_BLOCK_DAYS,
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``vwap``, accumulated from the start of the series or of each session."""
+    options = {"ts": ts, "tiebreak": tiebreak}
     if anchor == "series":
-        return add_indicators(df, vwap_of(), keys=keys, ts=ts, block_days=block_days)
+        return add_indicators(df, vwap_of(), keys=keys, block_days=block_days, **options)
     if anchor != "session":
         raise ValueError(f"anchor must be 'series' or 'session', got {anchor!r}")
     # A session is one day: bounded, so it needs no blocks.
     by_day = df.withColumn(SESSION, session_of(ts))
-    out = add_indicators(by_day, vwap_of(), keys=[*keys, SESSION], ts=ts, block_days=None)
+    out = add_indicators(by_day, vwap_of(), keys=[*keys, SESSION], block_days=None, **options)
     return out if SESSION in df.columns else out.drop(SESSION)
 
 
@@ -242,11 +242,6 @@ def rsi(df: DataFrame, window: int = 14, **series) -> DataFrame:
     return add_indicators(df, rsi_of(window), **series)
 
 
-def rolling_volatility(df: DataFrame, window: int = 20, **series) -> DataFrame:
-    """Add ``returns`` and ``volatility``."""
-    return add_indicators(df, rolling_volatility_of(window), **series)
-
-
 @dataclass(frozen=True)
 class WindowSet:
     ma: int

@@ -50,11 +50,13 @@ class SeriesWindow:
     real: str
     """Condition that is true on bars and false on the carry row of a block."""
     in_blocks: bool
+    ties: tuple[str, ...] = ()
+    """Columns that order rows of one time."""
 
     def _over(self, rows: str = "") -> str:
         first = f"{_KIND} DESC, " if self.in_blocks else ""
         by = ", ".join(self.partition)
-        return f"OVER (PARTITION BY {by} ORDER BY {first}{self.ts}{rows})"
+        return f"OVER (PARTITION BY {by} ORDER BY {first}{', '.join((self.ts, *self.ties))}{rows})"
 
     @property
     def ordered(self) -> str:
@@ -73,7 +75,7 @@ class SeriesWindow:
 
     def running_product(self, column: str) -> Column:
         """SQL has no product; this is the one column built from the function."""
-        order = [F.desc(_KIND), self.ts] if self.in_blocks else [self.ts]
+        order = [*([F.desc(_KIND)] if self.in_blocks else []), self.ts, *self.ties]
         spec = Window.partitionBy(*self.partition).orderBy(*order)
         return F.product(column).over(
             spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -95,6 +97,7 @@ def over_series(
     lookback: int = 0,
     carry: Mapping[str, tuple[str, str]] | None = None,
     block_days: int | None = DEFAULT_BLOCK_DAYS,
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Compute columns over every series of ``df`` in time order.
 
@@ -105,20 +108,25 @@ def over_series(
     ``product`` of the column, its ``last`` value, or its ``last_valid``
     (non-null) value.  Stages can then use ``running`` frames, or look one row
     back, without a halo.  ``block_days=None`` uses one window per series.
+
+    ``tiebreak`` names columns that order rows of one series and time.  Where such
+    rows exist, as in a union of days, results are only defined with it; rows that
+    are equal in it too have to be equal in what is computed from.
     """
-    require_columns(df, [*keys, ts])
+    require_columns(df, [*keys, ts, *tiebreak])
+    ties = tuple(quoted(c) for c in tiebreak)
     carried = dict(carry or {})
     partition = [quoted(k) for k in keys]
     added = [f"{expr} AS {name}" for name, (expr, _) in carried.items()]
     if block_days is None:
         rows = df.selectExpr("*", *added) if added else df
-        window = SeriesWindow(tuple(partition), quoted(ts), "true", in_blocks=False)
+        window = SeriesWindow(tuple(partition), quoted(ts), "true", in_blocks=False, ties=ties)
     else:
         block = f"CAST(floor({day_number_sql(ts)} / {block_days}) AS INT) AS {_BLOCK}"
         own = df.selectExpr("*", *added, block)
-        rows = _with_context(own, carried, [*partition, _BLOCK], keys, ts, lookback)
+        rows = _with_context(own, carried, [*partition, _BLOCK], keys, [ts, *tiebreak], lookback)
         by_block = (*partition, _BLOCK)
-        window = SeriesWindow(by_block, quoted(ts), f"{_KIND} <> {_CARRY}", in_blocks=True)
+        window = SeriesWindow(by_block, quoted(ts), f"{_KIND} <> {_CARRY}", in_blocks=True, ties=ties)
     for stage in stages(window):
         rows = rows.select("*", *[_named(expr, name) for name, expr in stage.items()])
     if block_days is not None:
@@ -137,7 +145,7 @@ def _with_context(
     carried: Mapping[str, tuple[str, str]],
     block_keys: Sequence[str],
     keys: Sequence[str],
-    ts: str,
+    order: Sequence[str],
     lookback: int,
 ) -> DataFrame:
     """The bars of each block together with its halo and carry rows."""
@@ -148,14 +156,18 @@ def _with_context(
         payload = [
             quoted(c) for c in own.columns if c not in {*keys, _BLOCK} and c not in totals
         ]
-        parts.append(_halo(own, payload, block_keys, ts, lookback))
+        parts.append(_halo(own, payload, block_keys, order, lookback))
     if carried:
-        parts.append(_carry_rows(own, carried, block_keys, ts))
+        parts.append(_carry_rows(own, carried, block_keys, order))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _halo(
-    own: DataFrame, payload: Sequence[str], block_keys: Sequence[str], ts: str, lookback: int
+    own: DataFrame,
+    payload: Sequence[str],
+    block_keys: Sequence[str],
+    order: Sequence[str],
+    lookback: int,
 ) -> DataFrame:
     """The ``lookback`` rows before each block, labelled with that block.
 
@@ -163,13 +175,14 @@ def _halo(
     before the shuffle.  The per-series window then sees only those: at most
     ``lookback`` rows per block.
     """
-    newest_first = f"PARTITION BY {', '.join(block_keys)} ORDER BY {quoted(ts)} DESC"
+    descending = ", ".join(f"{quoted(c)} DESC" for c in order)
+    newest_first = f"PARTITION BY {', '.join(block_keys)} ORDER BY {descending}"
     tails = (
         own.selectExpr("*", f"row_number() OVER ({newest_first}) AS _age")
         .where(f"_age <= {lookback}")
         .selectExpr(*block_keys, f"struct({', '.join(payload)}) AS _row")
     )
-    by_time = f"PARTITION BY {', '.join(block_keys[:-1])} ORDER BY _row.{quoted(ts)}"
+    by_time = f"PARTITION BY {', '.join(block_keys[:-1])} ORDER BY {', '.join(f'_row.{quoted(c)}' for c in order)}"
     earlier = f"ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING"
     return (
         tails.selectExpr(
@@ -182,16 +195,18 @@ def _halo(
     )
 
 
-def _block_digest(name: str, how: str, ts: str) -> Column:
+def _block_digest(name: str, how: str, order: Sequence[str]) -> Column:
+    # A struct only where it is needed: Spark aggregates those by sorting.
+    at = F.col(quoted(order[0])) if len(order) == 1 else F.struct(*[F.col(quoted(c)) for c in order])
     match how:
         case "sum":
             digest = F.sum(name)
         case "product":
             digest = F.product(name)
         case "last":
-            digest = F.max_by(name, ts)
+            digest = F.max_by(name, at)
         case "last_valid":
-            digest = F.max_by(name, F.when(F.col(name).isNotNull(), F.col(ts)))
+            digest = F.max_by(name, F.when(F.col(name).isNotNull(), at))
         case _:
             raise ValueError(f"unknown carry {how!r}")
     return digest.alias(name)
@@ -212,11 +227,14 @@ def _carried_value(name: str, how: str, by_block: WindowSpec) -> Column:
 
 
 def _carry_rows(
-    own: DataFrame, carried: Mapping[str, tuple[str, str]], block_keys: Sequence[str], ts: str
+    own: DataFrame,
+    carried: Mapping[str, tuple[str, str]],
+    block_keys: Sequence[str],
+    order: Sequence[str],
 ) -> DataFrame:
     """What each block needs to know of all earlier ones, one row per block."""
     digests = own.groupBy(*block_keys).agg(
-        *[_block_digest(name, how, ts) for name, (_, how) in carried.items()]
+        *[_block_digest(name, how, order) for name, (_, how) in carried.items()]
     )
     by_block = Window.partitionBy(*block_keys[:-1]).orderBy(_BLOCK)
     return digests.select(

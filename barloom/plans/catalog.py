@@ -286,7 +286,7 @@ def returns(spark, sf_dir):
 
 @query
 def rolling_vol(spark, sf_dir):
-    return rounded(indicators.rolling_volatility(thirty(spark, sf_dir), 20, **INTRADAY))
+    return rounded(changes.rolling_volatility(thirty(spark, sf_dir), 20, **INTRADAY))
 
 
 @query

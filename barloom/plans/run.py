@@ -13,12 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.operators import quality, shaping, stats
-from barloom.operators.changes import with_returns
-from barloom.operators.indicators import (
-    compact_metrics,
-    rolling_volatility,
-    standard_metrics_by_timeframe,
-)
+from barloom.operators.changes import rolling_volatility, with_returns
+from barloom.operators.indicators import compact_metrics, standard_metrics_by_timeframe
 from barloom.operators.rollup import (
     roll_up,
     roll_up_frames,

@@ -9,7 +9,7 @@ from conftest import START, minute_rows
 from pyspark.sql import functions as F
 
 from barloom.functions.timegrid import bucket_start, bucket_start_of_bar
-from barloom.operators import rollup, stats
+from barloom.operators import changes, indicators, rollup, stats
 from barloom.plans import run
 from barloom.schema import BAR_SCHEMA
 from barloom.sources import sinks
@@ -141,3 +141,33 @@ def test_a_large_session_is_not_bound_to_a_number_of_files(spark, make_bars, tmp
     bars = make_bars(minute_rows("A", minutes=390)).withColumn("timeframe", F.lit("1m"))
     sinks.write_bars(bars, str(tmp_path / "b"))
     assert sinks.read_stored_bars(spark, str(tmp_path / "b"), ["1m"]).count() == 390
+
+
+def test_repeated_bars_have_an_order(spark, make_bars):
+    rows = minute_rows("A", minutes=60) + minute_rows("A", minutes=60, seed=7)
+    bars = make_bars(rows)
+    # two rows a minute, told apart by their prices
+    options = {"tiebreak": ["open", "close"], "block_days": 7}
+
+    def result(df):
+        df = indicators.standard_metrics(df, "1m", **options)
+        df = changes.with_returns(df, **options)
+        return sorted(map(str, changes.with_running_sum(df, **options).collect()))
+
+    first = result(bars)
+    assert all(result(bars.repartition(n, "close")) == first for n in (1, 5, 9))
+    whole = indicators.moving_average(bars, 3, tiebreak=["open", "close"], block_days=None)
+    parts = indicators.moving_average(bars.repartition(3), 3, **options)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+
+
+def test_volatility_uses_the_last_known_close(spark, make_bars):
+    closes = [1.0, 2.0, None, 3.0, None, None, 6.0, 3.0]
+    rows = [("A", START + dt.timedelta(days=10 * i), 1.0, 1.0, 1.0, c, 1) for i, c in enumerate(closes)]
+    for block_days in (7, None):
+        got = changes.rolling_volatility(make_bars(rows), 3, block_days=block_days).orderBy("timestamp").collect()
+        want = [None, 1.0, 0.0, 0.5, 0.0, 0.0, 1.0, -0.5]
+        assert [r.returns for r in got] == want
+        assert [r.volatility is None for r in got] == [True] * 3 + [False] * 5
+        again = changes.with_returns(make_bars(rows), block_days=block_days).orderBy("timestamp").collect()
+        assert [r.returns for r in again] == want

@@ -15,7 +15,7 @@ OPERATORS = {
     "vwap": lambda df, **s: indicators.vwap(df, **s),
     "bands": lambda df, **s: indicators.bollinger_bands(df, 20, **s),
     "rsi": lambda df, **s: indicators.rsi(df, 14, **s),
-    "volatility": lambda df, **s: indicators.rolling_volatility(df, 20, **s),
+    "volatility": lambda df, **s: changes.rolling_volatility(df, 20, **s),
     "standard": lambda df, **s: indicators.standard_metrics(df, "1m", **s),
     "compact": lambda df, **s: indicators.compact_metrics(df, 6, **s),
     "returns": lambda df, **s: changes.with_returns(df, **s),

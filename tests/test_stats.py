@@ -158,7 +158,7 @@ def test_rolling_volatility(make_bars):
     rows = minute_rows(minutes=60)
     closes = np.array([r[5] for r in rows])
     moves = closes[1:] / closes[:-1] - 1
-    got = [r["volatility"] for r in collect(indicators.rolling_volatility(make_bars(rows), 20))]
+    got = [r["volatility"] for r in collect(changes.rolling_volatility(make_bars(rows), 20))]
     assert got[:20] == [None] * 20
     want = [moves[i - 20 : i].std(ddof=1) for i in range(20, 60)]
     assert got[20:] == pytest.approx(want)
