@@ -31,9 +31,9 @@ FROM judged
 
 ORACLES["op3_exact_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x FROM embeddings
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
@@ -43,3 +43,36 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+ORACLES["op4_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)])
+  END AS s FROM words
+), grams AS (
+  SELECT doc_id, unnest(s) AS g FROM sets
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * c >= 85 * (len(a.s) + len(b.s) - c)
+), directed AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(id, r) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT reach.id, directed.y FROM reach JOIN directed ON reach.r = directed.x
+), least AS (
+  SELECT id, min(r) AS component_id FROM reach GROUP BY id
+)
+SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN least ON id = doc_id
+"""
