@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 from barloom.llm import texts
 
 # Labelled rows that training takes at most, and characters of each of them at most.
-SAMPLE, SAMPLE_CHARS = 8_000, 100_000
+SAMPLE, SAMPLE_CHARS = 8_000, 50_000
 # Buckets of hashed n-grams, their lengths in bytes, and the size of an embedding.
 BUCKETS, GRAMS, SIZE = 1 << 18, (3, 4, 5, 6), 8
 THRESHOLD = 0.3
 # Texts of the common share that a word's own share of toxic texts is mixed with.
-SHRINK = 8
+SHRINK = 20
 
 # Bytes to bytes: A-Z to lower case, other ASCII that is neither letter nor digit to a boundary.
 BOUNDARY = 32
@@ -133,7 +133,7 @@ def train(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.05, deca
     words_of = []
     for text, _ in rows:
         folded = _FOLD[np.frombuffer((text or "").encode(), np.uint8)].tobytes()
-        words_of.append(np.array([number.setdefault(w, len(number)) for w in set(folded.split())], np.int64))
+        words_of.append(np.array([number.setdefault(w, len(number)) for w in set(folded.split())], np.int32))
     labels = np.array([label for _, label in rows], float)
     if not number or labels.min(initial=1) == labels.max(initial=0):
         share = min(max(labels.mean() if len(labels) else 0.0, 0.01), 0.99)
@@ -145,13 +145,14 @@ def train(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.05, deca
     toxic = np.bincount(owner, weights=np.repeat(labels, size), minlength=len(number))
     common = n >= (2 if len(rows) >= 1000 else 1)
     names = [w for w, keep in zip(number, common, strict=True) if keep]
+    del number, words_of, owner  # the driver's memory is small
     prior = labels.mean()
     n, toxic = n[common], toxic[common]
     share = (toxic + SHRINK * prior) / (n + SHRINK)
 
     raw = np.frombuffer(b" " + b" ".join(names) + b" ", np.uint8)
     starts = word_starts(raw)
-    word_at = np.cumsum(np.bincount(starts - 1, minlength=len(raw))) - 1
+    word_at = (np.cumsum(np.bincount(starts - 1, minlength=len(raw))) - 1).astype(np.int32)
     buckets, words = [], []
     for b, good in grams(raw):
         buckets.append(b[good])
@@ -160,7 +161,11 @@ def train(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.05, deca
     count = np.bincount(words, minlength=len(names)).astype(float)
 
     rng = np.random.default_rng(seed)
-    used, slot = np.unique(buckets, return_inverse=True)
+    used = np.flatnonzero(np.bincount(buckets, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    slot = place[buckets]
+    del buckets, raw, word_at
     emb = rng.standard_normal((len(used), SIZE)) / SIZE
     soft = rng.standard_normal(SIZE) / SIZE  # difference of the two rows of the softmax
     bias = np.log(prior / (1 - prior))
