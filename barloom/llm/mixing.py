@@ -103,14 +103,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     draw decides whether it is taken once more.
     Documents fight in hashed chunks of about FOLD, the larger first; what each chunk
     leaves open fights on in the next level of the tree, down to one a source. A hot
-    source is so many chunks more. Draws are hashes of ids and sizes: reruns agree.
+    source is so many chunks more. Draws are hashes of ids and texts: reruns agree.
 
     A null or empty text has size 0 and is taken with 0 words. Null sources are a
     source of their own, null and repeated ids are documents like any other, of equal
     rows any may be the one that is taken more often. Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    sizes = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
+    text = F.col(text_col)
+    # Rows without an id are told apart by their texts.
+    h = F.xxhash64(F.col(id_col), text, F.lit(seed)).alias("h")
+    sizes = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"), h))
     per = cut(targets(sizes))
     per = per.withColumn("ratio", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
     per = per.withColumn("base", F.floor("ratio").cast("int")).withColumn("p", F.col("ratio") - F.col("base"))
@@ -118,7 +121,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     most = per.agg(F.max("chunks")).first()[0] or 1
 
     rows = sizes.join(per.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    rows = rows.withColumn("h", F.xxhash64("doc_id", "size", F.lit(seed)))
     open_ = (F.col("size") > 0) & (F.col("p") > 0)
     done = [rows.where(~open_).select("source", "doc_id", "size", F.lit(0).alias("more"))]
     items = rows.where(open_).select("source", "doc_id", "size", "h", "p", "chunks", F.pmod("h", F.col("chunks")).alias("chunk"))

@@ -126,29 +126,39 @@ def train(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.05, deca
 
     A word is a bag of n-grams, its embedding their mean. Words take the share of toxic
     texts among those that hold them, drawn to the common share where these are few, and
-    weigh as the root of their number. The logit of
-    a text is a logistic fit to those of its two most toxic words, on the same rows.
+    weigh as the root of their number. The logit of a text is a logistic fit to those of
+    its two most toxic words, on the same rows.
     """
-    number: dict[bytes, int] = {}
-    words_of = []
-    for text, _ in rows:
-        folded = _FOLD[np.frombuffer((text or "").encode(), np.uint8)].tobytes()
-        words_of.append(np.array([number.setdefault(w, len(number)) for w in set(folded.split())], np.int32))
+
+    def words_in(text: str | None) -> set[bytes]:
+        return set(_FOLD[np.frombuffer((text or "").encode(), np.uint8)].tobytes().split())
+
     labels = np.array([label for _, label in rows], float)
-    if not number or labels.min(initial=1) == labels.max(initial=0):
+    # Words are counted by their hashes; only those that are kept are held as bytes.
+    hashes = [np.fromiter(map(hash, words_in(text)), np.int64) for text, _ in rows]
+    if not sum(map(len, hashes)) or labels.min(initial=1) == labels.max(initial=0):
         share = min(max(labels.mean() if len(labels) else 0.0, 0.01), 0.99)
         return Model(np.zeros(BUCKETS, np.float32), np.zeros(2), np.zeros(2), float(np.log(share / (1 - share))))
 
-    owner = np.concatenate(words_of)
-    size = np.array([len(w) for w in words_of])
-    n = np.bincount(owner, minlength=len(number)).astype(float)
-    toxic = np.bincount(owner, weights=np.repeat(labels, size), minlength=len(number))
+    size = [len(h) for h in hashes]
+    number, owner = np.unique(np.concatenate(hashes), return_inverse=True)
+    del hashes
+    n = np.bincount(owner).astype(float)
+    toxic = np.bincount(owner, weights=np.repeat(labels, size))
     common = n >= (2 if len(rows) >= 1000 else 1)
-    names = [w for w, keep in zip(number, common, strict=True) if keep]
-    del number, words_of, owner  # the driver's memory is small
     prior = labels.mean()
     n, toxic = n[common], toxic[common]
     share = (toxic + SHRINK * prior) / (n + SHRINK)
+    place = {h: i for i, h in enumerate(number[common].tolist())}
+    del number, owner
+    names = [b""] * len(place)
+    for text, _ in rows:
+        for word in words_in(text):
+            if (i := place.get(hash(word))) is not None:
+                names[i] = word
+    del place
+    order = sorted(range(len(names)), key=names.__getitem__)  # hashes differ between processes
+    names, n, share = [names[i] for i in order], n[order], share[order]
 
     raw = np.frombuffer(b" " + b" ".join(names) + b" ", np.uint8)
     starts = word_starts(raw)
