@@ -71,7 +71,8 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
     """Lines of the page: text, its length that counts, whether it is in an article element.
 
     A line is the text between two tags of blocks; what markup sets apart is an empty
-    line. Linked text counts only in an article element, where it is rarely a menu.
+    line, but none in an article element, which is not divided. Linked text counts only
+    in an article element, where it is rarely a menu.
     """
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
@@ -127,8 +128,8 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
                         break
             outside, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             is_apart = _aside(name, token["attrs"], inside)
-            if is_apart and not outside:
-                out.append(("", 0, inside))
+            if is_apart and not outside and not inside:
+                out.append(("", 0, False))
             if name not in LOOSE or is_apart:
                 stack.append((name, outside or is_apart, inside or (name in ARTICLE and not is_apart)))
         before = in_article
@@ -173,7 +174,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     forms and comments, as far as elements, roles or names of classes tell them, leave an
     empty line. Lengths are summed over windows of WINDOW lines; a run of windows with
     text lies between a surge and a dive, and the run with the most text is kept, whole.
-    Where the page has an article or main element with text, only its lines count.
+    Where the page has an article or main element with text, only its lines count, and
+    what is apart in it leaves nothing; of elements beside each other the one with the
+    most text is kept.
 
     A null or empty page gives an empty text. Repeated rows and null ids are rows like any
     other; other columns are not read. Cut-off and unclosed tags end with the page.

@@ -22,6 +22,11 @@ CASES = {
         "T\na b\nx < y < z\nc",
     ),
     "two articles": ("<article><p>short</p></article><article><p>the longer one</p></article>", "the longer one"),
+    "three neighbouring asides": (
+        '<article><h1>T</h1><p>one</p><div class="ad">ad</div><form>mail</form><aside>related</aside><div class="share">s</div>'
+        "<p>the longer side</p></article>",
+        "T\none\nthe longer side",
+    ),
     "main and dialog": ('<main><p>m1</p><div role="dialog">d</div><p>m2</p></main><p>out</p>', "m1\nm2"),
     "hidden": ('<p>a</p><p hidden>b</p><p style="display: none">c</p><p>d</p>', "a\nd"),
     "script": ('<p>a</p><script>var x="<p>no</p>";</script><style>p{}</style><!-- <p>no</p> --><p>b</p>', "a\nb"),
