@@ -21,7 +21,8 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# Name and value of an attribute; a value is consumed whole, so nothing in it is taken for a name.
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 # Elements without content, and those that stay in the line of the text around them.

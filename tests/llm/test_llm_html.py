@@ -31,6 +31,12 @@ CASES = {
     "hidden": ('<p>a</p><p hidden>b</p><p style="display: none">c</p><p>d</p>', "a\nd"),
     "script": ('<p>a</p><script>var x="<p>no</p>";</script><style>p{}</style><!-- <p>no</p> --><p>b</p>', "a\nb"),
     "attribute": ('<p title="a > b">t</p>', "t"),
+    "names in values": (
+        '<article><p>go to <a href="/trails/hidden-falls">the falls</a> and <a title="Our hidden gems">gems</a></p>'
+        '<p data-id="share">b <a href="/view?id=login">c</a> <a href=/x?class=ad>d</a></p><p title = \'class="ad"\'>e</p>'
+        "<p title='a'hidden>no</p><p ID = login>no</p></article>",
+        "go to the falls and gems\nb c d\ne",
+    ),
     "cut off": ("<article><p>hello</p><p>there <a hre", "hello\nthere"),
     "unclosed script": ("<article><p>x<script>foo", "x"),
     "form and notice": ('<div class="cookie-notice">We use cookies</div><p>Body</p><form><label>Name</label></form>', "Body"),
