@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from barloom.llm import texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-# Characters after which a word without a border is cut.
+# Characters after which a word without a border, or a run of spaces, is cut.
 LONGEST = 1024
 # Parts that share their tables.
 PARTS = 300_000
@@ -125,7 +125,7 @@ def build_trie(vocabulary: Vocabulary) -> Trie:
     is_known = np.zeros(len(code), bool)
     is_known[[ord(c) for c in single]] = True
     known = "".join(map(re.escape, single[1:]))
-    split = re.compile(f" *[{known}]{{1,{LONGEST}}}| {{1,{LONGEST}}}|.", re.S)
+    split = re.compile(f" {{0,{LONGEST}}}[{known}]{{1,{LONGEST}}}| {{1,{LONGEST}}}|.", re.S)
     return Trie(keys, targets, np.array(piece, np.int32), code, is_known, split)
 
 
@@ -338,7 +338,7 @@ def encode(
     keys with equal texts give equal ids. `lossless` says that the ids decode to the text.
 
     A null or empty text has no ids and is lossless. A null key is a key like any other.
-    Words are cut after LONGEST characters. The vocabulary, of fixed size, is broadcast.
+    Words and runs of spaces are cut after LONGEST characters. The vocabulary, of fixed size, is broadcast.
     """
     vocabulary = vocabulary or load()
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)

@@ -55,6 +55,14 @@ def test_equal_words_draw_for_themselves(vocabulary, trie):
     assert len(ids) > 3000 * len(alone)
 
 
+def test_long_runs_of_spaces(vocabulary, trie):
+    rows = [" " * 40_000 + "word", "a" + " " * 33_000 + "日b", " " * 1500 + "word"]
+    assert all(len(p) <= 2 * pieces.LONGEST for t in rows for p in trie.split.findall(t))
+    ids, sizes = pieces.encode_rows(rows, np.arange(3), trie, vocabulary.log_weight)
+    raw, at = pieces.decode_ids(ids, sizes, vocabulary.pieces)
+    assert [raw[a:b].tobytes().decode() for a, b in zip(at[:-1], at[1:], strict=True)] == rows
+
+
 def test_round_trip(spark, vocabulary):
     rows = [(i if i % 4 else None, t, "clash") for i, t in enumerate(TEXTS)] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
