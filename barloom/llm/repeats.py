@@ -12,7 +12,9 @@ are alone leave at once:
    settles the inner part of a repeated passage.
 3. For the others the bytes around the anchor are fetched, one occurrence for each
    different surrounding, and their windows pass through digits of DIGITS bytes, until
-   they are alone or equal to the full depth.
+   they are alone or equal to the full depth. An anchor with more than MANY surroundings
+   sends a hash of each window in place of bytes, and one of those that a task has seen
+   to be equal, so its windows are spread and what they share meets in few rows.
 4. Runs of bytes that repeated windows cover are removed from their texts.
 """
 
@@ -34,9 +36,8 @@ from barloom.llm.shingles import mix
 LENGTH = 200
 GRAM = 32
 DIGITS = (8, 24, 56, 112)
-# Surroundings of one anchor beyond which they are divided by the bytes that their windows share.
+# Surroundings of one anchor beyond which its windows are sent one by one.
 MANY = 4096
-STRIDE = 13
 # Windows that one pass sorts, about, and records that a task holds.
 HELD = 1 << 20
 
@@ -46,6 +47,8 @@ _TABLES: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _PLACE_BITS = 21
 
 _RECORD = np.dtype([("g", "<u8"), ("f", "<u8"), ("t", "<i8"), ("n", "<u4"), ("a", "<u4"), ("lo", "u1"), ("hi", "u1")])
+# One window: anchor, hash of its bytes, text, place of the anchor and distance from it.
+_WINDOW = np.dtype([("g", "<u8"), ("w", "<u8"), ("t", "<i8"), ("n", "<u4"), ("a", "<u4"), ("far", "u1"), ("ask", "u1")])
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,11 +156,12 @@ def _records(rows: DataFrame, length: int, buckets: int) -> DataFrame:
     return rows.mapInArrow(work, "bucket int, records binary")
 
 
-def _settle(found: np.ndarray, length: int) -> dict[str, np.ndarray]:
+def _settle(found: np.ndarray, length: int, most: int) -> dict[str, np.ndarray]:
     """Of a bucket: windows that are repeated as a whole, and occurrences whose bytes have to be seen.
 
     `ask` is 0 for the former (a is then their begin, up_to their end), else 1, or 2 if
-    the windows are known to be repeated and only others may equal them.
+    the windows are known to be repeated and only others may equal them. `many` tells
+    anchors with more than `most` surroundings.
     """
     found = found[np.lexsort((found["a"], found["t"], found["hi"], found["lo"], found["f"], found["g"]))]
     g = found["g"]
@@ -174,7 +178,7 @@ def _settle(found: np.ndarray, length: int) -> dict[str, np.ndarray]:
     group = np.cumsum(new_g)[first] - 1
     kinds = np.bincount(group)
     asked = first[kinds[group] > 1]
-    many = (kinds[group] > MANY)[kinds[group] > 1]
+    many = (kinds[group] > most)[kinds[group] > 1]
     done = np.flatnonzero(whole)
     copy = same[done]
     for c in ("t", "n", "a"):
@@ -191,11 +195,73 @@ def _settle(found: np.ndarray, length: int) -> dict[str, np.ndarray]:
     return out
 
 
-def _surroundings(asked: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
-    """Per occurrence (per range of STRIDE windows where there are many) the bytes of its windows."""
-    fields = ["g", "t", "n", "a", "lo", "hi", "ask"]
+def _hashed_windows(held: list[tuple], length: int) -> np.ndarray:
+    """All windows of occurrences (g, t, n, a, lo, hi, ask, bytes), as records."""
+    g, t, n, a, lo, hi, ask = (np.array(c, np.int64) for c in list(zip(*held, strict=True))[:7])
+    raw = np.frombuffer(b"".join(h[7] for h in held), np.uint8)
+    size = lo - hi + 1
+    begin = np.r_[0, np.cumsum(size + length - 1)[:-1]]
+    entry = np.repeat(np.arange(len(held)), size)
+    nth = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size)
+    start = begin[entry] + nth
+    out = np.empty(len(entry), _WINDOW)
+    out["g"], out["w"] = g.view(np.uint64)[entry], Hasher(raw)(start, start + length)
+    out["t"], out["n"], out["a"], out["far"], out["ask"] = t[entry], n[entry], a[entry], lo[entry] - nth, ask[entry]
+    return out
+
+
+def _combined(found: np.ndarray, length: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Windows with one of those that are equal, and the ranges that repeated ones with ask = 1 cover."""
+    found = found[np.lexsort((found["far"], found["w"], found["g"]))]
+    new = np.ones(len(found), bool)
+    new[1:] = False
+    for c in ("g", "w", "far"):
+        new[1:] |= found[c][1:] != found[c][:-1]
+    first = np.flatnonzero(new)
+    count = np.diff(np.r_[first, len(found)])
+    wanted = found[np.repeat(count > 1, count) & (found["ask"] == 1)]
+    left = found[first]
+    left["ask"][count > 1] = 2
+    start = wanted["a"].astype(np.int64) - wanted["far"]
+    by = np.lexsort((start, wanted["n"], wanted["t"]))
+    start, t, n = start[by], wanted["t"][by], wanted["n"][by].astype(np.int64)
+    new = np.ones(len(by), bool)
+    new[1:] = (t[1:] != t[:-1]) | (n[1:] != n[:-1]) | (start[1:] > start[:-1] + length)
+    last = np.r_[np.flatnonzero(new)[1:], len(by)][: int(new.sum())] - 1
+    return left, {"t": t[new], "n": n[new], "start": start[new], "end": start[last] + length}
+
+
+def _surroundings(asked: DataFrame, distinct: DataFrame, length: int, buckets: int, held_bytes: int) -> DataFrame:
+    """Per occurrence the bytes of its windows.
+
+    Where an anchor has many surroundings, rows with ask = 3 hold records of windows in place
+    of bytes, one of those that are equal in about `held_bytes`, and rows with ask = 0
+    the ranges (a to lo) that these equal ones cover.
+    """
+    names = ["bucket", "g", "t", "n", "a", "lo", "hi", "ask", "bytes"]
+    kinds = [pa.int32(), *[pa.int64()] * 6, pa.int32(), pa.binary()]
+
+    def rows_of(columns: list) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(columns[0]), 20_000):
+            arrays = [pa.array(c[i : i + 20_000], k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    def parcels(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        left, done = _combined(_hashed_windows(held, length), length)
+        held.clear()
+        bucket = (left["w"] % _U(buckets)).astype(np.int32)
+        by = np.argsort(bucket, kind="stable")
+        left, bucket = left[by], bucket[by]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        data = [left[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(left)], strict=True)]
+        none = np.zeros(len(first), np.int64)
+        yield from rows_of([bucket[first], *[none] * 6, none + 3, data])
+        none = np.zeros(len(done["t"]), np.int64)
+        yield from rows_of([done["t"] % buckets, none, done["t"], done["n"], done["start"], done["end"], none, none, [None] * len(none)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
             for r in range(batch.num_rows):
                 data = batch.column(2)[r].as_buffer()
@@ -205,26 +271,23 @@ def _surroundings(asked: DataFrame, distinct: DataFrame, length: int) -> DataFra
                 out: list[tuple] = []
                 for row in zip(g.tolist(), a.tolist(), lo.tolist(), hi.tolist(), ask.tolist(), many.tolist(), strict=True):
                     key, at, low, high, kind, split = row
+                    found = data[at - low : at - high + length].to_pybytes()
                     if not split:
-                        out.append((key, at, low, high, kind, data[at - low : at - high + length].to_pybytes()))
+                        out.append((key % buckets, key, t, n, at, low, high, kind, found))
                         continue
-                    for k in range(high // STRIDE, low // STRIDE + 1):
-                        least, most = max(high, k * STRIDE), min(low, k * STRIDE + STRIDE - 1)
-                        core = data[at - k * STRIDE : at - k * STRIDE - STRIDE + 1 + length].to_pybytes()
-                        sub = hashlib.blake2b(core, digest_size=8, key=(key % (1 << 64)).to_bytes(8, "little") + bytes([k])).digest()
-                        out.append((int.from_bytes(sub, "little", signed=True), at, most, least, kind, data[at - most : at - least + length].to_pybytes()))
-                for i in range(0, len(out), 20_000):
-                    g_, a_, lo_, hi_, ask_, bytes_ = zip(*out[i : i + 20_000], strict=True)
-                    m = len(g_)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(g_, pa.int64()), pa.array([t] * m, pa.int64()), pa.array([n] * m, pa.int64()), pa.array(a_, pa.int64())]
-                        + [pa.array(lo_, pa.int64()), pa.array(hi_, pa.int64()), pa.array(ask_, pa.int32()), pa.array(bytes_, pa.binary())],
-                        [*fields, "bytes"],
-                    )
+                    held.append((key, t, n, at, low, high, kind, found))
+                    size += len(found)
+                    if size >= held_bytes:
+                        yield from parcels(held)
+                        size = 0
+                if out:
+                    yield from rows_of(list(zip(*out, strict=True)))
+        if held:
+            yield from parcels(held)
 
     by_text = asked.groupBy("t", "n").agg(F.collect_list(F.struct("g", "a", "lo", "hi", "ask", "many")).alias("asks"))
     joined = distinct.join(by_text, ["t", "n"]).select("t", "n", F.col("text").cast("binary").alias("text"), "asks")
-    return joined.mapInArrow(work, "g long, t long, n long, a long, lo long, hi long, ask int, bytes binary")
+    return joined.mapInArrow(work, "bucket int, g long, t long, n long, a long, lo long, hi long, ask int, bytes binary")
 
 
 def _equal(group: np.ndarray, start: np.ndarray, hashed: Hasher, length: int) -> np.ndarray:
@@ -360,13 +423,13 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """
     if not 1 <= length <= LENGTH:
         raise ValueError(f"length has to be from 1 to {LENGTH}")
-    buckets = 2 * shuffle_partitions(docs.sparkSession)
+    buckets, many, held = 2 * shuffle_partitions(docs.sparkSession), MANY, HELD
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), F.octet_length(text).cast("long").alias("n"), text.alias("text"))
     long_enough = rows.where(F.col("n") >= length)
 
     def settle(t: pa.Table) -> pa.Table:
-        out = _settle(np.concatenate([np.frombuffer(r.as_py(), _RECORD) for r in t["records"]]), length)
+        out = _settle(np.concatenate([np.frombuffer(r.as_py(), _RECORD) for r in t["records"]]), length, many)
         return pa.table({c: out[c] for c in ("t", "n", "a", "up_to", "lo", "hi", "g", "ask", "many")})
 
     sent = _records(long_enough.select("t", "n", "text"), length, buckets)
@@ -380,12 +443,17 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         return kept.groupBy("t", "n").agg(F.first("text").alias("text"))
 
     def sort_out(t: pa.Table) -> pa.Table:
-        return _sorted_out(t, length)
+        kind = t["ask"].to_numpy()
+        done = t.filter(pa.array(kind == 0)).select(["t", "n", "a", "lo"]).rename_columns(["t", "n", "start", "end"])
+        out = [done, _sorted_out(t.filter(pa.array((kind == 1) | (kind == 2))), length)]
+        windows = [np.frombuffer(r.as_buffer(), _WINDOW) for r in t.filter(pa.array(kind == 3))["bytes"]]
+        if windows:
+            out.append(pa.table(_combined(np.concatenate(windows), length)[1]))
+        return pa.concat_tables(out)
 
     asked = seen.where("ask > 0")
-    around = _surroundings(asked, texts_of(asked), length)
-    bucket = F.pmod("g", F.lit(buckets)).alias("bucket")
-    ranges = around.groupBy(bucket).applyInArrow(sort_out, "t long, n long, start long, end long")
+    around = _surroundings(asked, texts_of(asked), length, buckets, held)
+    ranges = around.groupBy("bucket").applyInArrow(sort_out, "t long, n long, start long, end long")
     ranges = cut(ranges.union(seen.where("ask = 0").select("t", "n", F.col("a").alias("start"), F.col("up_to").alias("end"))))
     by_text = ranges.groupBy("t", "n").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     joined = texts_of(ranges).join(by_text, ["t", "n"]).select("t", "n", F.col("text").cast("binary").alias("text"), "ranges")

@@ -55,6 +55,27 @@ def test_against_all_windows(spark, monkeypatch, length, many, held):
     assert got == brute(rows, length)
 
 
+def test_windows_of_a_hot_anchor_meet_in_few_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    draw = lambda n: "".join(rng.choice("abcdefghijk ") for _ in range(n))
+    passage = draw(700)
+    rows = [(i, draw(rng.randint(150, 250)) + passage + draw(rng.randint(150, 250))) for i in range(400)]
+    sent, tasks = [], 4
+    surroundings = repeats._surroundings
+    monkeypatch.setattr(repeats, "MANY", 50)
+    monkeypatch.setattr(repeats, "_surroundings", lambda *a: sent.append(surroundings(*a)) or sent[0])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks)
+    got = collections.Counter(tuple(r) for r in repeats.remove(df).collect())
+    assert got == collections.Counter({k[:5]: v for k, v in brute(rows, 200).items()})
+    found = [r for r in sent[0].collect() if r.ask > 0]
+    groups = collections.Counter(r.g for r in found if r.ask < 3)
+    for r in found:
+        if r.ask == 3:
+            groups.update((int(x["g"]), int(x["w"]), int(x["far"])) for x in np.frombuffer(bytes(r.bytes), repeats._WINDOW))
+    assert groups and max(groups.values()) <= 50
+    assert max(v for k, v in groups.items() if isinstance(k, tuple)) <= tasks
+
+
 def test_long_texts_in_parts(spark, monkeypatch):
     monkeypatch.setattr(texts, "CHUNK", 300)
     rows = corpus(200, seed=4)
