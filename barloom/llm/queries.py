@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import ann, html, jaccard, mixing, pieces, repeats, secrets, topk, toxicity, urls
+from barloom.llm import ann, clusters, html, jaccard, mixing, pieces, repeats, resample, secrets, topk, toxicity, urls
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,13 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
