@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import ann, clusters, html, jaccard, mixing, pieces, repeats, resample, secrets, topk, toxicity, urls
+from barloom.llm import ann, clusters, html, jaccard, lm, mixing, pieces, repeats, resample, secrets, topk, toxicity, urls
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))

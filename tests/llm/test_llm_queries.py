@@ -24,7 +24,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are n
 
 def test_one_query_an_operator():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 13))
+    assert sorted(numbers) == list(range(1, 14))
     assert contract.queries().keys() >= {*queries.QUERIES, "pipeline"}
 
 
