@@ -149,7 +149,7 @@ def test_pieces_of_a_chunk():
         lm.PIECE, lm.PIECE_TEXTS = old
     data = raw[5 : 40_005].tobytes()
     plain = collections.Counter((b"\xff" * 5 + data + b"\xff")[i : i + 6] for i in range(40_001))
-    assert sum(plain.values()) + 300 + 3 + 5 == want[1].sum()  # learnt texts and their ends
+    assert sum(plain.values()) + 300 + 2 + 4 == want[1].sum()  # bytes of learnt texts and their ends
 
 
 def test_probabilities_add_up_to_one():
