@@ -7,8 +7,8 @@ the weights of context-tree weighting: a half for stopping at a context, a half
 
 How the corpus meets the model:
 * Texts are packed in chunks. A chunk lists its distinct grams (a context and the byte after it)
-  and its distinct words, with their number in the texts that are learnt from.
-* Lists go to buckets, grams by the two latest bytes of the context, words by a checksum, so
+  and its distinct words (64-bit hashes), with their number in the texts that are learnt from.
+* Lists go to buckets, grams by the two latest bytes of the context, words by their hash, so
   all deeper contexts of a context share a bucket. A bucket adds up the lists of all chunks.
 * Buckets hand the totals of the contexts of one byte upwards: 65,280 rows at most, whatever the
   corpus. The two uppermost depths follow from them and go to all buckets.
@@ -20,7 +20,6 @@ How the corpus meets the model:
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -38,7 +37,7 @@ DEPTH = 5
 # The byte before and after every text; UTF-8 has no such byte.
 END = 255
 # Bytes of text in a chunk, positions that are sorted at once, and texts among them (15 bits).
-CHUNK, PIECE, PIECE_TEXTS = 1 << 24, 1 << 22, 1 << 15
+CHUNK, PIECE, PIECE_TEXTS = 1 << 24, 1 << 20, 1 << 15
 # Buckets, and chunks whose lists one task takes for a bucket.
 BUCKETS, LISTS = 512, 1024
 HELD = 2, 7
@@ -114,29 +113,83 @@ def total(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def gram_counts(raw: np.ndarray, sizes: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of the texts, in order, and how often each is in a text that is learnt from."""
-    keys, counts = [], []
+    held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for gram, owner, at in pieces(raw, sizes):
         marked = np.sort((gram << np.uint64(1)) | learnt[at + owner].astype(np.uint64))
         gram = marked >> np.uint64(1)
         head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
-        keys.append(gram[head].astype(np.int64))
-        counts.append(np.add.reduceat((marked & np.uint64(1)).astype(np.int64), head) if len(head) else np.zeros(0, np.int64))
-    if len(keys) == 1:
-        return keys[0], counts[0]
-    return total(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts]))
+        held.append((gram[head].astype(np.int64), np.add.reduceat((marked & np.uint64(1)).astype(np.int64), head) if len(head) else np.zeros(0, np.int64)))
+        if sum(len(k) for k, _ in held[1:]) > max(PIECE, len(held[0][0])):
+            held = [total(*map(np.concatenate, zip(*held, strict=True)))]
+    return total(*map(np.concatenate, zip(*held, strict=True)))
 
 
-def text_scores(raw: np.ndarray, sizes: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> np.ndarray:
-    """Sum of the logs of the grams of each text."""
-    out = np.zeros(len(sizes))
-    for gram, owner, at in pieces(raw, sizes):
-        marked = np.sort((gram << np.uint64(15)) | owner.astype(np.uint64))
-        gram, owner = (marked >> np.uint64(15)).astype(np.int64), (marked & np.uint64((1 << 15) - 1)).astype(np.int64)
-        new = np.concatenate([[True], gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, bool)
-        value = logs[np.searchsorted(keys, gram[new])]
-        part = np.bincount(owner, weights=value[np.cumsum(new) - 1], minlength=1)
-        out[at : at + len(part)] += part
-    return out
+class Runs:
+    """Grams of the texts, sorted once: distinct ones, and by piece which texts hold them how often."""
+
+    def __init__(self, raw: np.ndarray, sizes: np.ndarray):
+        self.n, self.parts = len(sizes), []
+        for gram, owner, at in pieces(raw, sizes):
+            marked = np.sort((gram << np.uint64(15)) | owner.astype(np.uint64))
+            gram, owner = marked >> np.uint64(15), (marked & np.uint64((1 << 15) - 1)).astype(np.uint16)
+            head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+            self.parts.append((gram[head].astype(np.int64), np.diff(head, append=len(gram)).astype(np.int32), owner, at))
+        self.keys = np.unique(np.concatenate([np.zeros(0, np.int64), *(p[0] for p in self.parts)]))
+
+    def scores(self, logs: np.ndarray) -> np.ndarray:
+        """Sum of the logs, which follow the distinct grams, over the grams of each text."""
+        out = np.zeros(self.n)
+        for keys, times, owner, at in self.parts:
+            value = np.repeat(logs[np.searchsorted(self.keys, keys)], times)
+            part = np.bincount(owner, weights=value, minlength=1)
+            out[at : at + len(part)] += part
+        return out
+
+
+# Words of a text
+
+# A byte's number, and the base of the sums that name words: fixed, odd, otherwise of no meaning.
+_BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+_GAP = np.zeros(256, bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of the texts, as int64, and the text it is in.
+
+    The hash of a word is a polynomial in the base of the numbers of its bytes, from sums
+    along the text that wrap around, mixed with its length.
+    """
+    keys, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, j in texts.groups(np.concatenate([[0], np.cumsum(sizes)]), PIECE):
+        start = int(sizes[:i].sum())
+        part = raw[start : start + int(sizes[i:j].sum())]
+        # A gap after each text, so that no word runs on.
+        inside = np.zeros(len(part) + (j - i) + 1, bool)
+        owner = np.repeat(np.arange(j - i, dtype=np.int64), sizes[i:j])
+        at = np.arange(len(part)) + owner + 1
+        inside[at] = ~_GAP[part]
+        value = np.zeros(len(inside), np.uint64)
+        value[at] = _BYTES[part]
+        value *= _powers(_BASE, len(value))
+        value = np.cumsum(value)
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        first, last = edge[::2], edge[1::2]  # the place before the word, and its last one
+        whole = np.repeat(np.arange(i, j, dtype=np.int64), sizes[i:j] + 1)
+        h = (value[last] - value[first]) * _powers(_BACK, len(value))[first]
+        h ^= (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        keys.append((h ^ (h >> np.uint64(29))).view(np.int64))
+        owners.append(whole[first])
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 # The tree
@@ -249,7 +302,7 @@ def one_byte_sums(keys: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]
     return dict(zip(("context", "decision", "zeros", "ones", "logs"), map(np.concatenate, zip(*parts, strict=True)), strict=True))
 
 
-# Lists of keys as bytes: grams in order as differences, words divided by spaces
+# Lists of keys in order, as bytes: their differences
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -260,10 +313,6 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(data, np.int64))
 
 
-def _words(data: bytes) -> list[bytes]:
-    return data.split(b" ") if data else []
-
-
 def chunks(df: DataFrame, id_col: str, text_col: str, held: tuple[int, int]) -> DataFrame:
     """Texts in chunks of about CHUNK bytes, as they lie: chunk, ids, valid, learnt, sizes, data (A-Z in lower case)."""
     rows = df.select(
@@ -314,6 +363,13 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row after the other: a row may be some megabytes."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
+
+
 class Chunk:
     def __init__(self, row: dict):
         self.ids, self.valid = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["valid"], bool)
@@ -321,13 +377,6 @@ class Chunk:
         self.data = row["data"]
         self.raw = np.frombuffer(self.data, np.uint8)
 
-    def docs(self) -> Iterator[list[bytes]]:
-        """The words of each text."""
-        at = 0
-        for size in self.sizes.tolist():
-            yield self.data[at : at + size].split()
-            at += size
-
 
 def gram_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     """By the two latest bytes of the context."""
@@ -335,31 +384,28 @@ def gram_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint32(8)) % np.uint32(buckets)).astype(np.int64)
 
 
-def _gram_lists(chunk: Chunk, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    keys, counts = gram_counts(chunk.raw, chunk.sizes, chunk.learnt)
-    where = gram_buckets(keys, buckets)
+def word_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return keys % buckets
+
+
+def _by_bucket(where: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets that keys go to, and the places of these keys, in order."""
+    where = where.astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     order = np.argsort(where, kind="stable")
     edges = np.searchsorted(where[order], np.arange(buckets + 1))
     for b in range(buckets):
-        mine = order[edges[b] : edges[b + 1]]
-        if len(mine):
-            yield b, keys[mine], counts[mine]
+        if edges[b] < edges[b + 1]:
+            yield b, order[edges[b] : edges[b + 1]]
 
 
-def _word_lists(chunk: Chunk, buckets: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    known, others = Counter(), set()
-    for words, learnt in zip(chunk.docs(), chunk.learnt.tolist(), strict=True):
-        if learnt:
-            known.update(words)
-        else:
-            others.update(words)
-    by_bucket: list[list[bytes]] = [[] for _ in range(buckets)]
-    for word in known.keys() | others:
-        by_bucket[crc32(word) % buckets].append(word)
-    for b, words in enumerate(by_bucket):
-        if words:
-            words.sort()
-            yield b, words, np.fromiter((known[w] if w in known else 0 for w in words), np.int64, len(words))
+def _lists(chunk: Chunk, buckets: int) -> Iterator[tuple[bool, int, np.ndarray, np.ndarray]]:
+    keys, counts = gram_counts(chunk.raw, chunk.sizes, chunk.learnt)
+    for b, mine in _by_bucket(gram_buckets(keys, buckets), buckets):
+        yield True, b, keys[mine], counts[mine]
+    words, owner = word_hashes(chunk.raw, chunk.sizes)
+    keys, counts = total(words, chunk.learnt[owner].astype(np.int64))
+    for b, mine in _by_bucket(word_buckets(keys, buckets), buckets):
+        yield False, b, keys[mine], counts[mine]
 
 
 ASKED = "is_gram boolean, bucket int, salt int, chunk long, key_list binary, counts binary"
@@ -369,22 +415,19 @@ def lists(packed: DataFrame, salts: int, buckets: int) -> DataFrame:
     """What every chunk asks every bucket."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                chunk = Chunk(row)
-                out = [(True, b, _pack(k), c) for b, k, c in _gram_lists(chunk, buckets)]
-                out += [(False, b, b" ".join(w), c) for b, w, c in _word_lists(chunk, buckets)]
-                n = row["chunk"]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "is_gram": pa.array([o[0] for o in out], pa.bool_()),
-                        "bucket": pa.array([o[1] for o in out], pa.int32()),
-                        "salt": pa.array([crc32(b"%d" % n) % salts] * len(out), pa.int32()),
-                        "chunk": pa.array([n] * len(out), pa.int64()),
-                        "key_list": pa.array([o[2] for o in out], pa.binary()),
-                        "counts": pa.array([o[3].astype(np.int32).tobytes() for o in out], pa.binary()),
-                    }
-                )
+        for row in _rows(batches):
+            out = [(g, b, _pack(k), c.astype(np.int32).tobytes()) for g, b, k, c in _lists(Chunk(row), buckets)]
+            n = row["chunk"]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "is_gram": pa.array([o[0] for o in out], pa.bool_()),
+                    "bucket": pa.array([o[1] for o in out], pa.int32()),
+                    "salt": pa.array([crc32(b"%d" % n) % salts] * len(out), pa.int32()),
+                    "chunk": pa.array([n] * len(out), pa.int64()),
+                    "key_list": pa.array([o[2] for o in out], pa.binary()),
+                    "counts": pa.array([o[3] for o in out], pa.binary()),
+                }
+            )
 
     return _stored(packed.mapInArrow(work, ASKED))
 
@@ -398,41 +441,28 @@ def _merged(rows: DataFrame, keys: tuple[str, ...], wide: bool) -> DataFrame:
     names = list(keys)
     kind = np.int64 if wide else np.int32
 
-    def result(at: tuple, grams: tuple | None, words: Counter | None) -> pa.RecordBatch:
-        if at[0]:
-            key_list, counts = _pack(grams[0]), grams[1]
-        else:
-            order = sorted(words)
-            key_list, counts = b" ".join(order), np.fromiter(map(words.__getitem__, order), np.int64, len(order))
+    def result(at: tuple, lists: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        found, counts = total(*map(np.concatenate, zip(*lists, strict=True)))
         return pa.RecordBatch.from_pydict(
             {n: pa.array([v], pa.bool_() if n == "is_gram" else pa.int32()) for n, v in zip(names, at, strict=True)}
-            | {"key_list": pa.array([key_list], pa.binary()), "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary())}
+            | {"key_list": pa.array([_pack(found)], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())}
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, waiting, words = None, None, [], None
-
-        def settled():
-            both = [held, *waiting] if held is not None else waiting
-            return total(np.concatenate([k for k, _ in both]), np.concatenate([c for _, c in both]))
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                here = tuple(row[n] for n in names)
-                if here != at:
-                    if at is not None:
-                        yield result(at, settled() if at[0] else None, words)
-                    at, held, waiting, words = here, None, [], Counter()
-                counts = np.frombuffer(row["counts"], kind).astype(np.int64)
-                if here[0]:
-                    waiting.append((_unpack(row["key_list"]), counts))
-                    if sum(len(k) for k, _ in waiting) > max(1 << 18, len(held[0]) if held else 0):
-                        held, waiting = settled(), []
-                else:
-                    for word, n in zip(_words(row["key_list"]), counts.tolist(), strict=True):
-                        words[word] += n
+        at, held, waiting = None, [], 0  # the first of the lists held is a sum, `waiting` keys are in the others
+        for row in _rows(batches):
+            here = tuple(row[n] for n in names)
+            if here != at:
+                if at is not None:
+                    yield result(at, held)
+                at, held, waiting = here, [], 0
+            found = _unpack(row["key_list"])
+            held.append((found, np.frombuffer(row["counts"], kind).astype(np.int64)))
+            waiting += len(found)
+            if waiting > max(1 << 18, 2 * len(held[0][0])):
+                held, waiting = [total(*map(np.concatenate, zip(*held, strict=True)))], 0
         if at is not None:
-            yield result(at, settled() if at[0] else None, words)
+            yield result(at, held)
 
     types = ", ".join(f"{n} {'boolean' if n == 'is_gram' else 'int'}" for n in names)
     placed = _in_order(rows.select(*names, "key_list", "counts"), *names)
@@ -478,6 +508,19 @@ def word_totals(model: DataFrame) -> tuple[int, int]:
     return found[0] or 0, found[1] or 0
 
 
+def _bucket_logs(keys: np.ndarray, counts: np.ndarray, top: Top, some: int = 1 << 19) -> np.ndarray:
+    """gram_logs of a bucket, for about `some` keys at a time; what shares two bytes of context stays together."""
+    pairs, out, at = keys >> (8 * (DEPTH - 1)), [np.zeros(0)], 0
+    while at < len(keys):
+        to = min(len(keys), at + some)
+        if to < len(keys):
+            low = int(np.searchsorted(pairs, pairs[to], side="left"))
+            to = low if low > at else int(np.searchsorted(pairs, pairs[to], side="right"))
+        out.append(gram_logs(keys[at:to], counts[at:to], top))
+        at = to
+    return np.concatenate(out)
+
+
 def answers(model: DataFrame, asked: DataFrame, top: Top, salts: int) -> DataFrame:
     """To every list its values: logs of grams, numbers of words. The model of a bucket comes first in its task."""
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
@@ -486,34 +529,16 @@ def answers(model: DataFrame, asked: DataFrame, top: Top, salts: int) -> DataFra
     held_top = model.sparkSession.sparkContext.broadcast(top)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logs, words = None, None, None
+        keys, values = None, None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 if row["chunk"] < 0:
-                    counts = np.frombuffer(row["counts"], np.int64)
-                    if row["is_gram"]:
-                        keys, logs = _unpack(row["key_list"]), []
-                        # Contexts of two bytes stay whole; some of them at a time.
-                        pairs = keys >> (8 * (DEPTH - 1))
-                        at = 0
-                        while at < len(keys):
-                            to = min(len(keys), at + (1 << 19))
-                            if to < len(keys):
-                                low = int(np.searchsorted(pairs, pairs[to], side="left"))
-                                to = low if low > at else int(np.searchsorted(pairs, pairs[to], side="right"))
-                            logs.append(gram_logs(keys[at:to], counts[at:to], held_top.value))
-                            at = to
-                        logs = np.concatenate(logs)
-                    else:
-                        words = dict(zip(_words(row["key_list"]), counts.tolist(), strict=True))
-                elif row["is_gram"]:
-                    value = logs[np.searchsorted(keys, _unpack(row["key_list"]))]
-                    out.append((True, row["bucket"], row["chunk"], value.tobytes()))
+                    keys, counts = _unpack(row["key_list"]), np.frombuffer(row["counts"], np.int64)
+                    values = _bucket_logs(keys, counts, held_top.value) if row["is_gram"] else counts
                 else:
-                    found = _words(row["key_list"])
-                    value = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-                    out.append((False, row["bucket"], row["chunk"], value.tobytes()))
+                    value = values[np.searchsorted(keys, _unpack(row["key_list"]))]
+                    out.append((row["is_gram"], row["bucket"], row["chunk"], value.tobytes()))
             if out:
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -538,7 +563,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: t
 
     `score` is log10 of the model's probability of the text's bytes (A-Z in lower case) and its
     end; bits_per_byte the code length, the end counted as a byte. `base_score` is that of the
-    tokens, words and an end, each by its share in training with one added. Training takes every
+    tokens, words and an end, each by its share in training with one added; words are told apart by hashes of 64 bits. Training takes every
     row whose checksum of the id does not leave `held`; rows without an id are learnt from.
 
     A null text is empty: its only token is the end. Rows that repeat each count and are each
@@ -567,11 +592,10 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: t
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_values: dict[tuple[bool, int], bytes] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                if not row["part"]:
-                    held_values[row["is_gram"], row["bucket"]] = row["vals"]
-                    continue
+        for row in _rows(batches):
+            if not row["part"]:
+                held_values[row["is_gram"], row["bucket"]] = row["vals"]
+            else:
                 chunk = Chunk(row)
                 logs = _gram_values(chunk, held_values, buckets)
                 n_tokens, n_known, base = _word_scores(chunk, held_values, buckets, n, v, ends)
@@ -596,29 +620,22 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: t
 
 def _gram_values(chunk: Chunk, values: dict, buckets: int) -> np.ndarray:
     """Scores of the chunk's texts from the answers, which follow the order of its lists."""
-    keys, logs = [np.zeros(0, np.int64)], [np.zeros(0)]
-    for b, k, _ in _gram_lists(chunk, buckets):
-        keys.append(k)
-        logs.append(np.frombuffer(values[True, b], float))
-    keys, logs = np.concatenate(keys), np.concatenate(logs)
-    order = np.argsort(keys)
-    return text_scores(chunk.raw, chunk.sizes, keys[order], logs[order])
+    runs = Runs(chunk.raw, chunk.sizes)
+    logs = np.zeros(len(runs.keys))
+    for b, mine in _by_bucket(gram_buckets(runs.keys, buckets), buckets):
+        logs[mine] = np.frombuffer(values[True, b], float)
+    return runs.scores(logs)
 
 
 def _word_scores(chunk: Chunk, values: dict, buckets: int, n: int, v: int, ends: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, known tokens and base score of each text."""
-    at: dict[bytes, int] = {}
-    counts = [np.zeros(0, np.int64)]
-    for b, words, _ in _word_lists(chunk, buckets):
-        at.update(zip(words, range(len(at), len(at) + len(words)), strict=True))
-        counts.append(np.frombuffer(values[False, b], np.int64))
-    counts = np.concatenate(counts)
-    logs = np.log10((counts + 1) / (n + v + 1))
-    end = float(np.log10((ends + 1) / (n + v + 1)))
-    tokens, known, base = [], [], []
-    for words in chunk.docs():
-        place = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-        tokens.append(len(words) + 1)
-        known.append(int(np.count_nonzero(counts[place])) + (ends > 0))
-        base.append(float(logs[place].sum()) + end)
-    return np.array(tokens, np.int64), np.array(known, np.int64), np.array(base, float)
+    words, owner = word_hashes(chunk.raw, chunk.sizes)
+    keys, which = np.unique(words, return_inverse=True)
+    counts = np.zeros(len(keys), np.int64)
+    for b, mine in _by_bucket(word_buckets(keys, buckets), buckets):
+        counts[mine] = np.frombuffer(values[False, b], np.int64)
+    logs = np.log10((np.append(counts, ends) + 1) / (n + v + 1))
+    size = len(chunk.sizes)
+    tokens = np.bincount(owner, minlength=size) + 1
+    known = np.bincount(owner, weights=(counts > 0)[which], minlength=size).astype(np.int64) + (ends > 0)
+    return tokens, known, np.bincount(owner, weights=logs[which], minlength=size) + logs[-1]

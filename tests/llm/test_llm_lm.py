@@ -138,13 +138,15 @@ def test_pieces_of_a_chunk():
     learnt = np.array([1, 0, 1, 1, 0, 1, 0, 1], bool)
     want = lm.gram_counts(raw, sizes, learnt)
     logs = rng.random(len(want[0]))
-    scores = lm.text_scores(raw, sizes, want[0], logs)
+    runs = lm.Runs(raw, sizes)
+    assert (runs.keys == want[0]).all()
+    scores = runs.scores(logs)
     old = lm.PIECE, lm.PIECE_TEXTS
     try:
         lm.PIECE, lm.PIECE_TEXTS = 1000, 3
         for a, b in zip(lm.gram_counts(raw, sizes, learnt), want, strict=True):
             assert (a == b).all()
-        assert lm.text_scores(raw, sizes, want[0], logs) == pytest.approx(scores)
+        assert lm.Runs(raw, sizes).scores(logs) == pytest.approx(scores)
     finally:
         lm.PIECE, lm.PIECE_TEXTS = old
     data = raw[5 : 40_005].tobytes()
@@ -168,9 +170,20 @@ def test_probabilities_add_up_to_one():
 
 
 def test_kt():
-    a, b = np.meshgrid(np.r_[0:70, 1000, 10**9], np.r_[0:70, 1000, 10**9])
-    want = [[math.lgamma(x + 0.5) + math.lgamma(y + 0.5) - math.log(math.pi) - math.lgamma(x + y + 1) for x, y in zip(p, q, strict=True)] for p, q in zip(a.tolist(), b.tolist(), strict=True)]
-    assert lm.log_kt(a, b) == pytest.approx(np.array(want), rel=1e-9, abs=1e-9)
+    for most, near in ((1000, 1e-9), (10**9, 1e-4)):
+        a, b = np.meshgrid(np.r_[0:70, most], np.r_[0:70, most])
+        want = [math.lgamma(x + 0.5) + math.lgamma(y + 0.5) - math.log(math.pi) - math.lgamma(x + y + 1) for x, y in zip(a.ravel().tolist(), b.ravel().tolist(), strict=True)]
+        assert lm.log_kt(a, b).ravel() == pytest.approx(np.array(want), rel=1e-9, abs=near)
+
+
+def test_words_by_hash():
+    data = [low(t) for t in [*some_texts(300, 3), "", " ", "a", " a", "a ", "\x0ba\x0c", "x" * 5000, "ab ba aab aba baa"]]
+    raw, sizes = np.frombuffer(b"".join(data), np.uint8), np.array([len(d) for d in data], np.int64)
+    want = [(i, w) for i, d in enumerate(data) for w in d.split()]
+    keys, owner = lm.word_hashes(raw, sizes)
+    assert owner.tolist() == [i for i, _ in want]
+    names = dict(zip(keys.tolist(), [w for _, w in want], strict=True))
+    assert [names[k] for k in keys.tolist()] == [w for _, w in want] and len(names) == len({w for _, w in want})
 
 
 def test_nothing_learnt_and_empty(spark):
