@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from barloom.functions.timegrid import session_of
+from barloom.operators.order_stats import moving_quantile
 from barloom.operators.series import (
     BLOCK_DAYS,
     DEFAULT_BLOCK_DAYS,
@@ -198,6 +199,9 @@ def rolling_volatility_of(
 
 # --- operators -------------------------------------------------------------
 
+# Rows of a window that is sorted anew for every row.
+LONG_WINDOW = 256
+
 
 def moving_average(df: DataFrame, window: int = 30, column: str = "close", **series) -> DataFrame:
     """Add ``ma_{window}``; early rows average what there is."""
@@ -205,7 +209,13 @@ def moving_average(df: DataFrame, window: int = 30, column: str = "close", **ser
 
 
 def moving_median(df: DataFrame, window: int = 30, column: str = "close", **series) -> DataFrame:
-    """Add ``median_{window}``; the middle pair is averaged."""
+    """Add ``median_{window}``; the middle pair is averaged.
+
+    Windows over ``LONG_WINDOW`` rows are not sorted row by row: their time does not depend
+    on the window.
+    """
+    if window > LONG_WINDOW:
+        return moving_quantile(df, window, column, 0.5, f"median_{window}", **series)
     return add_indicators(df, moving_median_of(window, column), **series)
 
 

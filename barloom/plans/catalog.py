@@ -18,7 +18,7 @@ from barloom.functions.bar_columns import (
     typical_price,
 )
 from barloom.functions.timegrid import clock_label, session_of
-from barloom.operators import changes, indicators, quality, rollup, shaping, stats
+from barloom.operators import changes, indicators, order_stats, quality, rollup, shaping, stats
 from barloom.plans import run
 from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform
 from barloom.sources import calendar, sinks
@@ -205,6 +205,20 @@ def moving_median(spark, sf_dir):
     return rounded(indicators.moving_median(thirty(spark, sf_dir), 14, **INTRADAY))
 
 
+@query
+def moving_median_long(spark, sf_dir):
+    """The median price of the last 5,000 ticks."""
+    rows = ticks(spark, sf_dir).select(SYMBOL, TIMESTAMP, *TICK_TIES, "close")
+    return rounded(indicators.moving_median(rows, 5000, tiebreak=TICK_TIES, **INTRADAY))
+
+
+@query
+def moving_quantile_long(spark, sf_dir):
+    """The lower quartile of the volume of the last 700 bars."""
+    one = bars(spark, sf_dir, "1m")
+    return rounded(order_stats.moving_quantile(one, 700, "volume", 0.25, group_rows=1024, **INTRADAY))
+
+
 @query
 def vwap_series(spark, sf_dir):
     return rounded(indicators.vwap(thirty(spark, sf_dir), **INTRADAY))

@@ -398,6 +398,15 @@ SELECT * FROM stacked UNION ALL SELECT *, '2w alone' AS timeframe FROM bars_2w""
     sql["moving_median"] = with_bars(
         "30m", f"SELECT {ROUNDED_BARS}, {r(median(14), 'median_14')} FROM bars"
     )
+    of_ticks = (
+        'quantile_cont(price, 0.5) OVER (PARTITION BY symbol ORDER BY "timestamp", tie '
+        "ROWS BETWEEN 4999 PRECEDING AND CURRENT ROW)"
+    )
+    sql["moving_median_long"] = f"""WITH {TICKS}
+SELECT symbol, "timestamp", tie AS event_id, {r("price", "close")}, {r(of_ticks, "median_5000")} FROM ticks"""
+    sql["moving_quantile_long"] = with_bars(
+        "1m", f"SELECT {ROUNDED_BARS}, {r(f'quantile_cont(volume, 0.25) OVER {frame(700)}', 'quantile_700')} FROM bars"
+    )
     sql["vwap_series"] = with_bars("30m", f"SELECT {ROUNDED_BARS}, {r(vwap(), 'vwap')} FROM bars")
     by_day = vwap('symbol, CAST("timestamp" AS DATE)')
     sql["vwap_session"] = with_bars("30m", f"SELECT {ROUNDED_BARS}, {r(by_day, 'vwap')} FROM bars")
