@@ -200,7 +200,7 @@ def rolling_volatility_of(
 # --- operators -------------------------------------------------------------
 
 # Rows of a window that is sorted anew for every row.
-LONG_WINDOW = 256
+LONG_WINDOW = 128
 
 
 def moving_average(df: DataFrame, window: int = 30, column: str = "close", **series) -> DataFrame:

@@ -7,7 +7,7 @@ tables, and returns a frame, lazy but where it has to write files or run a strea
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,6 +24,7 @@ from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform
 from barloom.sources import calendar, sinks
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
+from barloom.streaming.corrections import CorrectedBars, correct_available
 from barloom.streaming.metrics import metrics_handler, read_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -729,11 +730,61 @@ def streaming_all(spark, sf_dir):
     folder = sinks.shared_folder(spark, "stream")
     stream = streaming.write_available(closed, f"{folder}/bars", f"{folder}/state")
     last = streaming.open_bars(
-        ticks(spark, sf_dir), "5m", streaming.watermark_of(stream), tiebreak=TICK_TIES
+        ticks(spark, sf_dir), "5m", streaming.watermark_of(stream, f"{folder}/state"), tiebreak=TICK_TIES
     )
     return spark.read.parquet(f"{folder}/bars").unionByName(last)
 
 
+def arrivals(spark: SparkSession, sf_dir: str, folder: str, parts: list[DataFrame]) -> Iterator[DataFrame]:
+    """The stream of a folder, after each of the parts was put there."""
+    schema = table(spark, sf_dir, "events").schema
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{folder}/in/{i}")
+        yield ticks_of(streaming.read_file_stream(spark, f"{folder}/in/*", schema))
+
+
+@query
+def streaming_corrected(spark, sf_dir):
+    """Bars of ticks that arrive in three parts of all times, one part twice; who changed a bar last."""
+    events = table(spark, sf_dir, "events")
+    folder = sinks.shared_folder(spark, "stream")
+    parts = [events.where(F.pmod("event_id", F.lit(3)) == i) for i in (2, 0, 2, 1)]
+    store = CorrectedBars(f"{folder}/store", "5m", TICK_TIES, tiebreak=TICK_TIES)
+    for stream in arrivals(spark, sf_dir, folder, parts):
+        correct_available(stream, store, f"{folder}/state")
+    return store.bars(spark)
+
+
+@query
+def streaming_replaced(spark, sf_dir):
+    """The bars as the second of three arrivals left them."""
+    events = table(spark, sf_dir, "events")
+    folder = sinks.shared_folder(spark, "stream")
+    store = CorrectedBars(f"{folder}/store", "30m", TICK_TIES, tiebreak=TICK_TIES)
+    for i in (2, 0, 1):
+        store.apply(ticks_of(events.where(F.pmod("event_id", F.lit(3)) == i)), (2, 0, 1).index(i))
+    return store.as_of(spark, 1)
+
+
+@query
+def streaming_replayed(spark, sf_dir):
+    """Bars of a stream whose files, one for each half of the time, come twice."""
+    events = table(spark, sf_dir, "events")
+    folder = sinks.shared_folder(spark, "stream")
+    child = streaming.stream_session(spark, STATE_PARTITIONS)
+    first, last = events.select(F.min("ts"), F.max("ts")).first()
+    middle = first + (last - first) / 2
+    lateness = f"{int((last - first).total_seconds() / 2) + 60} seconds"
+    halves = [events.where(F.col("ts") < middle), events.where((F.col("ts") >= middle) | F.col("ts").isNull())]
+    for stream in arrivals(child, sf_dir, folder, [halves[0], halves[0], halves[1], halves[1]]):
+        closed = streaming.stream_bars(stream, "5m", lateness=lateness, tiebreak=TICK_TIES, tick_key=TICK_TIES)
+        done = streaming.write_available(closed, f"{folder}/bars", f"{folder}/state")
+    rest = streaming.open_bars(
+        ticks(spark, sf_dir), "5m", streaming.watermark_of(done, f"{folder}/state"), tiebreak=TICK_TIES
+    )
+    return spark.read.schema(rest.schema).parquet(f"{folder}/bars").unionByName(rest)
+
+
 @query
 def streaming_metrics(spark, sf_dir):
     """Standard metrics of streamed bars, continued from batch to batch."""

@@ -697,5 +697,19 @@ SELECT * FROM base JOIN means USING (symbol)"""
       <= (SELECT max("timestamp") FROM ticks) - INTERVAL '10 minutes'"""
     sql["streaming_bars"] = with_bars("5m", f"{every_bar} {closed}")
     sql["streaming_all"] = sql["ohlc_5m"]
+    sql["streaming_replayed"] = sql["ohlc_5m"]
+    # A bar keeps the number of the last arrival that held a new tick of it.
+    sql["streaming_corrected"] = f"""WITH {TICKS}, {bars("5m")}, came AS (
+  SELECT symbol, time_bucket(INTERVAL '5 minutes', "timestamp") AS "timestamp",
+         max(CASE tie % 3 WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 3 END)::BIGINT AS revision
+  FROM ticks GROUP BY ALL)
+SELECT bars.*, revision FROM bars JOIN came
+  ON bars.symbol IS NOT DISTINCT FROM came.symbol AND bars."timestamp" = came."timestamp\""""
+    sql["streaming_replaced"] = f"""WITH {TICKS}, seen AS (SELECT * FROM ticks WHERE tie % 3 <> 1), {bars("30m", source="seen")}, came AS (
+  SELECT symbol, time_bucket(INTERVAL '30 minutes', "timestamp") AS "timestamp",
+         max(CASE tie % 3 WHEN 2 THEN 0 ELSE 1 END)::BIGINT AS revision
+  FROM seen GROUP BY ALL)
+SELECT bars.*, revision FROM bars JOIN came
+  ON bars.symbol IS NOT DISTINCT FROM came.symbol AND bars."timestamp" = came."timestamp\""""
     sql["streaming_metrics"] = f"{sql['metrics_standard']} {closed}"
     return sql

@@ -60,15 +60,24 @@ def stream_bars(
     keys: Sequence[str] = KEYS,
     ts: str = TIMESTAMP,
     tiebreak: Sequence[str] = (),
+    tick_key: Sequence[str] = (),
 ) -> DataFrame:
-    """Tumbling bars of a tick stream; a bar comes out when its window is closed."""
-    require_columns(ticks, [*keys, ts, *OHLCV, *tiebreak])
+    """Tumbling bars of a tick stream; a bar comes out when its window is closed.
+
+    ``tick_key`` names the columns that tell ticks apart: a tick that repeats one counts
+    once.  State then also holds the keys of the last ``lateness``; what comes later than
+    that is late, repeated or not (:mod:`barloom.streaming.corrections` has no such limit).
+    """
+    require_columns(ticks, [*keys, ts, *OHLCV, *tiebreak, *tick_key])
     timed = ticks.select(
         *keys,
         *OHLCV,
+        *[F.col(c).alias(f"_key_{i}") for i, c in enumerate(tick_key)],
         F.expr(f"{order_key(ticks, ts, tiebreak)} AS _order"),
         F.expr(f"timestamp_micros({epoch_micros_sql(ts)}) AS {_EVENT_TIME}"),
     ).withWatermark(_EVENT_TIME, lateness)
+    if tick_key:
+        timed = timed.dropDuplicatesWithinWatermark([f"_key_{i}" for i in range(len(tick_key))])
     bars = timed.groupBy(
         *keys, F.window(_EVENT_TIME, f"{step_seconds(timeframe)} seconds").alias("_window")
     ).agg(*bucket_aggregates("_order"))
@@ -80,27 +89,56 @@ class LateRowsError(RuntimeError):
     """Rows came after the watermark had passed their window and were left out."""
 
 
+class ProgressLostError(RuntimeError):
+    """More batches ran than the session keeps the progress of, so late rows cannot be counted."""
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """How many (partly aggregated) rows the watermark dropped in this run of a stream."""
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+    """How many (partly aggregated) rows the watermark dropped in this run of a stream.
+
+    Raises :class:`ProgressLostError` where the session may have forgotten batches of the run.
+    """
+    progress = query.recentProgress
+    kept = getattr(query, "_kept", None)  # set by the functions below
+    if kept is None:
+        kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(progress) >= kept:
+        raise ProgressLostError(
+            f"the session keeps the progress of {kept} batches; read the stream in a stream_session, "
+            "or give it fewer files at a time"
+        )
+    return sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])
+
 
+def watermark_of(query: StreamingQuery, checkpoint: str | None = None) -> datetime | None:
+    """The time up to which windows are closed, naive in UTC; None before any data.
 
-def watermark_of(query: StreamingQuery) -> datetime | None:
-    """The time up to which windows are closed, naive in UTC; None before any data."""
+    A run that found no new file shows no watermark; ``checkpoint`` names the folder that
+    remembers it.
+    """
     marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
-    if not marks:
-        return None
-    return datetime.fromisoformat(max(marks).replace("Z", "+00:00")).replace(tzinfo=None)
+    if marks:
+        return datetime.fromisoformat(max(marks).replace("Z", "+00:00")).replace(tzinfo=None)
+    if checkpoint is None:
+        raise ValueError("the run read no data; name the checkpoint of the stream")
+    return stored_watermark(SparkSession.active(), checkpoint)
+
+
+def stored_watermark(spark: SparkSession, checkpoint: str) -> datetime | None:
+    """The watermark of the last batch of a checkpoint, naive in UTC; None before any data."""
+    logs = spark.read.option("wholetext", True).text(f"{checkpoint.rstrip('/')}/offsets")
+    stamp = F.regexp_extract("value", '"batchWatermarkMs":([0-9]+)', 1)
+    last = logs.select(F.max(stamp.try_cast("bigint"))).first()[0]
+    return datetime(1970, 1, 1) + timedelta(milliseconds=last) if last else None
 
 
-def _finish(query: StreamingQuery, allow_late: bool) -> StreamingQuery:
+def _finish(query: StreamingQuery, session: SparkSession, allow_late: bool) -> StreamingQuery:
     query.awaitTermination()
+    query._kept = int(session.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if allow_late:
+        return query
     dropped = late_rows(query)
-    if dropped and not allow_late:
+    if dropped:
         raise LateRowsError(
             f"{dropped} rows came later than the watermark allows and are in no bar; "
             "allow more lateness, or roll the files up in a batch"
@@ -125,7 +163,7 @@ def write_available(
         .trigger(availableNow=True)
         .start()
     )
-    return _finish(query, allow_late)
+    return _finish(query, bars.sparkSession, allow_late)
 
 
 def open_bars(
@@ -172,4 +210,4 @@ def write_batches(
         .trigger(availableNow=True)
         .start()
     )
-    return _finish(query, allow_late)
+    return _finish(query, bars.sparkSession, allow_late)
