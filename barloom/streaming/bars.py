@@ -102,7 +102,7 @@ def late_rows(query: StreamingQuery) -> int:
     kept = getattr(query, "_kept", None)  # set by the functions below
     if kept is None:
         kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-    if len(progress) >= kept:
+    if len(progress) >= kept - 1:  # Spark forgets the oldest as soon as there are so many
         raise ProgressLostError(
             f"the session keeps the progress of {kept} batches; read the stream in a stream_session, "
             "or give it fewer files at a time"
