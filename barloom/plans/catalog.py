@@ -25,6 +25,7 @@ from barloom.sources import calendar, sinks
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
 from barloom.streaming.corrections import CorrectedBars, correct_available
+from barloom.streaming.keyed import keyed_metrics, keyed_session
 from barloom.streaming.metrics import metrics_handler, read_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -785,6 +786,17 @@ def streaming_replayed(spark, sf_dir):
     return spark.read.schema(rest.schema).parquet(f"{folder}/bars").unionByName(rest)
 
 
+@query
+def streaming_keyed(spark, sf_dir):
+    """Standard metrics of streamed bars, from a ring of rows per symbol in the state store."""
+    child = keyed_session(spark, STATE_PARTITIONS)
+    events = streaming.read_file_stream(child, sf_dir, table(spark, sf_dir, "events").schema, pattern="events.parquet")
+    closed = streaming.stream_bars(ticks_of(events), "5m", lateness=STREAM_LATENESS, tiebreak=TICK_TIES)
+    folder = sinks.shared_folder(spark, "stream")
+    streaming.write_available(keyed_metrics(closed, "5m"), f"{folder}/metrics", f"{folder}/state")
+    return rounded(spark.read.parquet(f"{folder}/metrics"))
+
+
 @query
 def streaming_metrics(spark, sf_dir):
     """Standard metrics of streamed bars, continued from batch to batch."""
