@@ -38,6 +38,7 @@ BLOCK_DAYS: dict[str, int | None] = {"1m": 28, "5m": 140, "30m": 840, "1h": 1680
 
 _BLOCK = "_block"
 _KIND = "_kind"
+BLOCK_COLUMN = _BLOCK
 _OWN, _HALO, _CARRY = 0, 1, 2
 
 
@@ -113,26 +114,71 @@ def over_series(
     rows exist, as in a union of days, results are only defined with it; rows that
     are equal in it too have to be equal in what is computed from.
     """
+    if block_days is None:
+        require_columns(df, [*keys, ts, *tiebreak])
+        added = [f"{expr} AS {name}" for name, (expr, _) in (carry or {}).items()]
+        rows = df.selectExpr("*", *added) if added else df
+        ties = tuple(quoted(c) for c in tiebreak)
+        window = SeriesWindow(tuple(map(quoted, keys)), quoted(ts), "true", in_blocks=False, ties=ties)
+        return _computed(rows, window, stages, outputs, df.columns)
+    rows = with_context(
+        df, keys=keys, ts=ts, lookback=lookback, carry=carry, block_days=block_days, tiebreak=tiebreak
+    )
+    return over_context(rows, stages, outputs, df.columns, keys=keys, ts=ts, tiebreak=tiebreak)
+
+
+def with_context(
+    df: DataFrame,
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    lookback: int = 0,
+    carry: Mapping[str, tuple[str, str]] | None = None,
+    block_days: int = DEFAULT_BLOCK_DAYS,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """The rows of every block, with its halo and carry rows: what :func:`over_context` needs.
+
+    Adds the carried columns, the block and the kind of row.
+    """
     require_columns(df, [*keys, ts, *tiebreak])
-    ties = tuple(quoted(c) for c in tiebreak)
     carried = dict(carry or {})
-    partition = [quoted(k) for k in keys]
     added = [f"{expr} AS {name}" for name, (expr, _) in carried.items()]
-    if block_days is None:
-        rows = df.selectExpr("*", *added) if added else df
-        window = SeriesWindow(tuple(partition), quoted(ts), "true", in_blocks=False, ties=ties)
-    else:
-        block = f"CAST(floor({day_number_sql(ts)} / {block_days}) AS INT) AS {_BLOCK}"
-        own = df.selectExpr("*", *added, block)
-        rows = _with_context(own, carried, [*partition, _BLOCK], keys, [ts, *tiebreak], lookback)
-        by_block = (*partition, _BLOCK)
-        window = SeriesWindow(by_block, quoted(ts), f"{_KIND} <> {_CARRY}", in_blocks=True, ties=ties)
+    block = f"CAST(floor({day_number_sql(ts)} / {block_days}) AS INT) AS {_BLOCK}"
+    own = df.selectExpr("*", *added, block)
+    return _with_context(own, carried, [*map(quoted, keys), _BLOCK], keys, [ts, *tiebreak], lookback)
+
+
+def over_context(
+    rows: DataFrame,
+    stages: Callable[[SeriesWindow], Stages],
+    outputs: Mapping[str, str],
+    columns: Sequence[str],
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = TIMESTAMP,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """Compute columns over rows of :func:`with_context`; ``columns`` are those to keep."""
+    by_block = (*map(quoted, keys), _BLOCK)
+    ties = tuple(quoted(c) for c in tiebreak)
+    window = SeriesWindow(by_block, quoted(ts), f"{_KIND} <> {_CARRY}", in_blocks=True, ties=ties)
+    return _computed(rows, window, stages, outputs, columns)
+
+
+def _computed(
+    rows: DataFrame,
+    window: SeriesWindow,
+    stages: Callable[[SeriesWindow], Stages],
+    outputs: Mapping[str, str],
+    columns: Sequence[str],
+) -> DataFrame:
     for stage in stages(window):
         rows = rows.select("*", *[_named(expr, name) for name, expr in stage.items()])
-    if block_days is not None:
+    if window.in_blocks:
         rows = rows.where(f"{_KIND} = {_OWN}")
-    kept = [f"{outputs[c]} AS {quoted(c)}" if c in outputs else quoted(c) for c in df.columns]
-    new = [f"{expr} AS {quoted(c)}" for c, expr in outputs.items() if c not in df.columns]
+    kept = [f"{outputs[c]} AS {quoted(c)}" if c in outputs else quoted(c) for c in columns]
+    new = [f"{expr} AS {quoted(c)}" for c, expr in outputs.items() if c not in columns]
     return rows.selectExpr(*kept, *new)
 
 

@@ -8,6 +8,7 @@ tables, and returns a frame, lazy but where it has to write files or run a strea
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,7 +22,7 @@ from barloom.functions.timegrid import clock_label, session_of
 from barloom.operators import changes, indicators, order_stats, quality, rollup, shaping, stats
 from barloom.plans import run
 from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform
-from barloom.sources import calendar, sinks
+from barloom.sources import calendar, series_store, sinks
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
 from barloom.streaming.corrections import CorrectedBars, correct_available
@@ -678,6 +679,25 @@ def stored_run(spark, sf_dir):
     return rounded(result.reports["indicator_analysis"])
 
 
+@query
+def metrics_stored(spark, sf_dir):
+    """Standard metrics of bars that are stored by series and block, read without a shuffle."""
+    folder = sinks.shared_folder(spark, "series")
+    name = f"series_{folder[-32:]}"
+    series_store.store_standard(bars(spark, sf_dir, "5m"), name, folder, "5m", buckets=8, **INTRADAY)
+    return rounded(series_store.standard_metrics_of(spark, name, "5m"))
+
+
+@query
+def metrics_stored_week(spark, sf_dir):
+    """The same for eight days, of which only the blocks are read."""
+    folder = sinks.shared_folder(spark, "series")
+    name = f"series_{folder[-32:]}"
+    series_store.store_standard(bars(spark, sf_dir, "5m"), name, folder, "5m", buckets=8, **INTRADAY)
+    range_of_days = {"start": date(2024, 1, 10), "end": date(2024, 1, 18)}
+    return rounded(series_store.standard_metrics_of(spark, name, "5m", **range_of_days))
+
+
 # --- sinks and streams -------------------------------------------------------
 
 

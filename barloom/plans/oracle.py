@@ -711,6 +711,9 @@ SELECT bars.*, revision FROM bars JOIN came
   FROM seen GROUP BY ALL)
 SELECT bars.*, revision FROM bars JOIN came
   ON bars.symbol IS NOT DISTINCT FROM came.symbol AND bars."timestamp" = came."timestamp\""""
+    sql["metrics_stored"] = sql["metrics_standard"]
+    sql["metrics_stored_week"] = f"""SELECT * FROM ({sql["metrics_standard"]})
+WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-18\'"""
     sql["streaming_keyed"] = f"{sql['metrics_standard']} {closed}"
     sql["streaming_metrics"] = f"{sql['metrics_standard']} {closed}"
     return sql
