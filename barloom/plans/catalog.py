@@ -20,8 +20,9 @@ from barloom.functions.bar_columns import (
 )
 from barloom.functions.timegrid import clock_label, session_of
 from barloom.operators import changes, indicators, order_stats, quality, rollup, shaping, stats
+from barloom.operators.comoments import correlations
 from barloom.plans import run
-from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform
+from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform, numeric_columns
 from barloom.sources import calendar, series_store, sinks
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
@@ -598,6 +599,13 @@ def correlation(spark, sf_dir):
     return rounded(stats.correlation_matrix(metrics))
 
 
+@query
+def correlation_one_pass(spark, sf_dir):
+    """The same from matrices of moments."""
+    metrics = indicators.standard_metrics(bars(spark, sf_dir, "5m"), "5m", **INTRADAY)
+    return rounded(correlations(metrics, numeric_columns(metrics, exclude=[SYMBOL])))
+
+
 @query
 def histogram(spark, sf_dir):
     moves = changes.with_returns(thirty(spark, sf_dir), **INTRADAY)

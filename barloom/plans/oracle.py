@@ -714,6 +714,7 @@ SELECT bars.*, revision FROM bars JOIN came
     sql["metrics_stored"] = sql["metrics_standard"]
     sql["metrics_stored_week"] = f"""SELECT * FROM ({sql["metrics_standard"]})
 WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-18\'"""
+    sql["correlation_one_pass"] = sql["correlation"]
     sql["streaming_keyed"] = f"{sql['metrics_standard']} {closed}"
     sql["streaming_metrics"] = f"{sql['metrics_standard']} {closed}"
     return sql

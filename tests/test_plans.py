@@ -98,6 +98,8 @@ FORBIDDEN = (
 def test_no_python_no_cross_join_no_single_task(spark, name):
     text = plan(catalog.QUERIES[name](spark, SF))
     allowed = {"frame_summary": "SinglePartition", "head_rows": "SinglePartition"}
+    # Of bounded groups, or one small matrix a task.
+    allowed |= dict.fromkeys(("moving_median_long", "moving_quantile_long", "correlation_one_pass"), "FlatMapGroups")
     for word in FORBIDDEN:
         if allowed.get(name) != word:
             assert word not in text, word
