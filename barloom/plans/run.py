@@ -7,10 +7,11 @@ the stored frame it needs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from barloom.operators import quality, shaping, stats
 from barloom.operators.changes import rolling_volatility, with_returns
@@ -23,8 +24,9 @@ from barloom.operators.rollup import (
     stack_frames,
 )
 from barloom.operators.series import BLOCK_DAYS
-from barloom.schema import KEYS, OHLCV, SESSION, TIMEFRAME, TIMESTAMP
+from barloom.schema import KEYS, OHLCV, PRICES, SESSION, TIMEFRAME, TIMESTAMP
 from barloom.functions.timegrid import session_of
+from barloom.sources.published import PublishedRuns
 from barloom.sources.sinks import read_stored_bars, store_frames, write_bars
 
 FRAMES = ("1m", "5m", "30m", "1d")
@@ -250,3 +252,30 @@ def batch_metrics(
         ts=ts,
         block_days=None,
     )
+
+
+def publish_bars(source: DataFrame, runs: PublishedRuns, *, csv: bool = False, **options) -> int:
+    """:func:`run_bars`, all of its tables published as one run; returns the run's number.
+
+    Ticks that reach no bar, for want of a time or a price, are counted in the scan that
+    makes the bars.  ``csv`` writes the frames with their metrics as headed CSV.
+    """
+    ts = options.get("ts", TIMESTAMP)
+    folder = f"runs/{uuid.uuid4().hex}"
+    seen = Observation()
+    price = F.greatest(*[F.col(p).isNull().cast("int") for p in PRICES]) == 1
+    watched = source.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(ts).isNull()).alias("no_time"),
+        F.count_if(price).alias("no_price"),
+    )
+    result = run_bars(watched, store=f"{runs.path.rstrip('/')}/{folder}/store", **options)
+    tables = {
+        f"{kind}_{name}": df
+        for kind, group in (("frame", result.frames), ("check", result.checks), ("report", result.reports), ("chart", result.charts))
+        for name, df in group.items()
+    }
+    formats = {f"frame_{tf}": "csv" for tf in result.frames} if csv else {}
+    counts = [("source", check, int(n)) for check, n in seen.get.items()]
+    return runs.publish(tables, formats=formats, counts=counts, folder=folder)
