@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,6 +25,7 @@ from barloom.operators.comoments import correlations
 from barloom.plans import run
 from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform, numeric_columns
 from barloom.sources import calendar, series_store, sinks
+from barloom.sources.published import PublishedRuns
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
 from barloom.streaming.corrections import CorrectedBars, correct_available
@@ -706,6 +708,73 @@ def metrics_stored_week(spark, sf_dir):
     return rounded(series_store.standard_metrics_of(spark, name, "5m", **range_of_days))
 
 
+_RUNS: dict[tuple[str, str], tuple[str, run.BarRun]] = {}
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> run.BarRun:
+    """A stored run; queries of one application that read tables of the same run share it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _RUNS and sinks.exists(spark, f"{_RUNS[key][0]}/metrics/1d/_SUCCESS"):
+        return _RUNS[key][1]
+    folder = sinks.shared_folder(spark, "run")
+    _RUNS[key] = folder, run.run_bars(ticks(spark, sf_dir), tiebreak=TICK_TIES, store=folder, **INTRADAY)
+    return _RUNS[key][1]
+
+
+def delivered(kind: str, name: str) -> Query:
+    """A table as a run delivers it."""
+
+    def of_run(spark, sf_dir):
+        return rounded(getattr(whole_run(spark, sf_dir), f"{kind}s")[name])
+
+    of_run.__name__ = f"{kind}_{name}"
+    return query(of_run)
+
+
+for _report in (
+    "overview", "bar_counts", "price_statistics", "volume_statistics", "returns_statistics", "risk",
+    "completeness", "indicator_analysis", "indicator_statistics", "price_levels", "dashboard",
+):
+    delivered("report", _report)
+for _chart in (
+    "returns", "returns_histogram", "returns_marks", "normal_points", "normal_line",
+    "correlation_5m", "candles_5m", "candles_30m", "indicators_5m", "indicators_30m",
+):
+    delivered("chart", _chart)
+
+
+@query
+def run_checks(spark, sf_dir):
+    """The verdicts of all checks of a run, with the number each goes by."""
+    found = {"spacing": ("uneven_steps", "evenly_spaced"), "ranges": ("n_timeframes", "consistent"), "repeated": ("n_bars", "false")}
+    parts = []
+    for name, df in whole_run(spark, sf_dir).checks.items():
+        n, ok = found.get(name.split("_")[0], ("n_bars", "valid"))
+        parts.append(df.selectExpr(SYMBOL, f"'{name}' AS check_name", f"CAST({n} AS BIGINT) AS n", f"{ok} AS ok"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def enriched_csv(spark, sf_dir):
+    """Frames with their metrics, published as headed CSV and read back as one long table."""
+    frames = run.add_standard_metrics(run.build_frames(ticks(spark, sf_dir), tiebreak=TICK_TIES), **INTRADAY)
+    runs = PublishedRuns(sinks.shared_folder(spark, "published"))
+    runs.publish(frames, formats=dict.fromkeys(frames, "csv"))
+    return rounded(run.stacked_metrics(runs.tables(spark)))
+
+
+@query
+def published_counts(spark, sf_dir):
+    """What the second of two runs counted while it wrote its tables; ticks of one symbol lack a time or a price."""
+    source = ticks(spark, sf_dir)
+    odd = source.withColumn(TIMESTAMP, F.expr("IF(symbol = 'click' AND event_id % 10 = 0, NULL, timestamp)"))
+    odd = odd.withColumns({c: F.expr(f"IF(symbol = 'view' AND event_id % 7 = 0, NULL, {c})") for c in OHLCV[:4]})
+    runs = PublishedRuns(sinks.shared_folder(spark, "published"))
+    runs.publish({"bars": rollup.roll_up(source, "1d", tiebreak=TICK_TIES)})
+    runs.publish({"ticks": odd, "bars": rollup.roll_up(odd, "1d", tiebreak=TICK_TIES)})
+    return runs.counts(spark).where("check IN ('rows', 'no_time', 'no_price')")
+
+
 # --- sinks and streams -------------------------------------------------------
 
 

@@ -373,6 +373,131 @@ SELECT met.*, n_bars = 30 AS bar_count_ok, abs(source_volume - rolled_volume) AS
 FROM met""")
 
 
+def returns_sql(timeframe: str) -> dict[str, str]:
+    """The questions about returns that are asked of several timeframes."""
+    return {
+        "describe": moves(described("moves", ["returns"]), timeframe),
+        "risk": moves(f"""SELECT symbol, count(returns) AS n_returns,
+       {r("stddev_samp(returns)", "bar_volatility")},
+       {r("stddev_samp(returns) * sqrt(252 * 390)", "annualized_volatility")},
+       {r("min(low) / nullif(max(high), 0) - 1", "range_drawdown")}
+FROM moves GROUP BY symbol""", timeframe),
+        "histogram": moves(f""", ranges AS (
+  SELECT symbol, CASE WHEN min(returns) = max(returns) THEN min(returns) - 0.5
+                      ELSE min(returns) END AS lo,
+         CASE WHEN min(returns) = max(returns) THEN max(returns) + 0.5
+              ELSE max(returns) END AS hi
+  FROM moves WHERE returns IS NOT NULL GROUP BY symbol),
+counts AS (
+  SELECT symbol, CAST(least(floor((returns - lo) / (hi - lo) * 30), 29) AS INTEGER) AS bin,
+         count(*) AS n_values
+  FROM moves JOIN ranges USING (symbol) WHERE returns IS NOT NULL GROUP BY ALL)
+SELECT ranges.symbol, CAST(b AS INTEGER) AS bin, {r("lo + (hi - lo) / 30 * b", "bin_start")},
+       {r("lo + (hi - lo) / 30 * (b + 1)", "bin_end")}, coalesce(n_values, 0) AS n_values
+FROM ranges CROSS JOIN generate_series(0, 29) AS bins(b)
+LEFT JOIN counts ON counts.symbol = ranges.symbol AND counts.bin = b""", timeframe),
+        "distribution": moves(f"""SELECT symbol, count(returns) AS n_values,
+       {r("avg(returns)", "mean")}, {r("quantile_cont(returns, 0.5)", "median")}
+FROM moves GROUP BY symbol""", timeframe),
+        "qq_points": moves(f""", {QQ}
+SELECT symbol, rank, {r("theoretical", "theoretical")}, {r("ordered", "ordered")} FROM points""", timeframe),
+        "qq_fit": moves(f""", {QQ}
+SELECT symbol, count(*) AS n_points, {r("regr_slope(ordered, theoretical)", "slope")},
+       {r("regr_intercept(ordered, theoretical)", "intercept")},
+       {r("corr(ordered, theoretical)", "r")}
+FROM points GROUP BY symbol""", timeframe),
+    }
+
+
+def candles_sql(timeframe: str, half_width: int) -> str:
+    return with_bars(timeframe, f"""SELECT {ROUNDED_BARS},
+       CASE WHEN close >= open THEN 'green' ELSE 'red' END AS color,
+       {r("abs(close - open)", "body_height")}, {r("least(open, close)", "body_base")},
+       {r("low", "wick_low")}, {r("high", "wick_high")},
+       CAST({half_width} AS DOUBLE) AS half_width_seconds
+FROM bars""")
+
+
+def lines_sql(timeframe: str) -> str:
+    w = STANDARD[timeframe][0]
+    lines = ["close", f"ma_{w}", f"median_{w}", "vwap", "bb_middle", "bb_upper", "rsi"]
+    chosen = ", ".join(r(n, n) for n in lines)
+    return with_bars(timeframe, f", {standard(timeframe)} SELECT symbol, \"timestamp\", {chosen} FROM metrics")
+
+
+def checks_sql() -> str:
+    """Symbol, check, number and verdict of every check of a run."""
+    ctes = [TICKS, *[bars(tf, f"bars_{tf}") for tf in ("1m", "5m", "30m", "1d")]]
+    parts = []
+    rules = " AND ".join(holds(rule) for rule in RULES.values())
+    parts.append(f"SELECT symbol, 'bars' AS check_name, count(*) AS n, {rules} AS ok FROM bars_1m GROUP BY symbol")
+    for tf in ("5m", "30m", "1d"):
+        parts.append(f"""SELECT symbol, 'rollup_{tf}', n, ok AND abs(a.v - b.v) <= 1
+FROM (SELECT symbol, sum(volume) AS v FROM bars_1m GROUP BY symbol) AS a
+JOIN (SELECT symbol, count(*) AS n, sum(volume) AS v, {rules} AS ok FROM bars_{tf} GROUP BY symbol) AS b USING (symbol)""")
+    for tf, step in (("1m", 60), ("5m", 300), ("30m", 1800)):
+        gaps = GAPS.replace("FROM bars", f"FROM bars_{tf}").replace("gaps AS", f"gaps_{tf} AS")
+        ctes.append(gaps)
+        parts.append(f"""SELECT symbol, 'spacing_{tf}', count(*) FILTER (gap_seconds <> {step}), {holds(f"gap_seconds = {step}")}
+FROM gaps_{tf} GROUP BY symbol""")
+    union = " UNION ALL ".join(f"SELECT symbol, min(low) AS lo, max(high) AS hi FROM bars_{tf} GROUP BY symbol" for tf in ("1m", "5m", "30m", "1d"))
+    parts.append(f"""SELECT symbol, 'ranges', count(*), min(lo) = max(lo) AND min(hi) = max(hi) FROM ({union}) GROUP BY symbol""")
+    for tf in ("5m", "30m"):
+        ctes.append(standard(tf, f"bars_{tf}", f"metrics_{tf}"))
+        w = STANDARD[tf][0]
+        known = " AND ".join(f"count({n}) = count(*)" for n in (f"ma_{w}", f"median_{w}", *STANDARD_TAIL))
+        parts.append(f"""SELECT symbol, 'metrics_{tf}', count(*), {known}
+  AND coalesce(min(vwap) >= min(low) * 0.9 AND max(vwap) <= max(high) * 1.1, true)
+  AND coalesce(min(rsi) >= 0 AND max(rsi) <= 100, true)
+  AND count(*) FILTER (NOT (bb_lower <= bb_middle AND bb_middle <= bb_upper)) = 0
+FROM metrics_{tf} GROUP BY symbol""")
+    return f"WITH {', '.join(ctes)} " + " UNION ALL ".join(parts)
+
+
+def run_tables(sql: dict[str, str]) -> dict[str, str]:
+    """The tables a run delivers: those asked for elsewhere too, and the same of other timeframes."""
+    minute = returns_sql("1m")
+    return {
+        "report_overview": f"""WITH {TICKS}, {stacked(['1m', '5m', '30m', '1d'])}
+SELECT symbol, timeframe, count(*) AS n_bars, min("timestamp") AS first_bar,
+       max("timestamp") AS last_bar, {r("min(low)", "low")}, {r("max(high)", "high")},
+       CAST(sum(volume) AS BIGINT) AS total_volume, {r("avg(volume)", "mean_volume")}
+FROM stacked GROUP BY symbol, timeframe""",
+        "report_bar_counts": sql["ratio"],
+        "report_price_statistics": with_bars("1m", described("bars", list(OHLCV[:4]))),
+        "report_volume_statistics": with_bars("1m", described("bars", ["volume"])),
+        "report_returns_statistics": minute["describe"],
+        "report_risk": minute["risk"],
+        "report_completeness": sql["completeness"],
+        "report_indicator_analysis": sql["stored_run"],
+        "report_indicator_statistics": sql["describe_indicators"],
+        "report_price_levels": scaled_sql(),
+        "report_dashboard": sql["quick_stats"],
+        "chart_returns": moves(f"""SELECT symbol, "timestamp", {r('returns', 'returns')},
+       CASE WHEN count(returns) OVER {frame(20)} = 20
+            THEN {r(f"stddev_samp(returns) OVER {frame(20)}")} END AS volatility FROM moves""", "1m"),
+        "chart_returns_histogram": minute["histogram"],
+        "chart_returns_marks": minute["distribution"],
+        "chart_normal_points": minute["qq_points"],
+        "chart_normal_line": minute["qq_fit"],
+        "chart_correlation_5m": sql["correlation"],
+        "chart_candles_5m": candles_sql("5m", 120),
+        "chart_candles_30m": candles_sql("30m", 720),
+        "chart_indicators_5m": lines_sql("5m"),
+        "chart_indicators_30m": lines_sql("30m"),
+        "run_checks": checks_sql(),
+        "enriched_csv": sql["run_standard"],
+        "published_counts": f"""WITH {TICKS}, odd AS (
+  SELECT symbol, CASE WHEN symbol = 'click' AND tie % 10 = 0 THEN NULL ELSE "timestamp" END AS "timestamp", tie,
+         CASE WHEN symbol = 'view' AND tie % 7 = 0 THEN NULL ELSE price END AS price, volume FROM ticks),
+{bars("1d", source="odd")}, found AS (
+  SELECT 'ticks' AS table_name, count(*) AS "rows", count(*) FILTER ("timestamp" IS NULL) AS no_time,
+         count(*) FILTER (price IS NULL) AS no_price FROM odd
+  UNION ALL SELECT 'bars', count(*), 0, 0 FROM bars WHERE "timestamp" IS NOT NULL)
+UNPIVOT found ON "rows", no_time, no_price INTO NAME "check" VALUE n""",
+    }
+
+
 def oracles() -> dict[str, str]:
     sql: dict[str, str] = {}
     every_bar = f"SELECT {BAR_COLUMNS} FROM bars"
@@ -715,6 +840,7 @@ SELECT bars.*, revision FROM bars JOIN came
     sql["metrics_stored_week"] = f"""SELECT * FROM ({sql["metrics_standard"]})
 WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-18\'"""
     sql["correlation_one_pass"] = sql["correlation"]
+    sql |= run_tables(sql)
     sql["streaming_keyed"] = f"{sql['metrics_standard']} {closed}"
     sql["streaming_metrics"] = f"{sql['metrics_standard']} {closed}"
     return sql
