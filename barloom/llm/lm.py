@@ -314,7 +314,10 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def chunks(df: DataFrame, id_col: str, text_col: str, held: tuple[int, int]) -> DataFrame:
-    """Texts in chunks of about CHUNK bytes, as they lie: chunk, ids, valid, learnt, sizes, data (A-Z in lower case)."""
+    """Texts in chunks of about CHUNK bytes, as they lie: chunk, ids, valid, learnt, sizes, data (A-Z in lower case).
+
+    The data are compressed, so that a batch of chunks stays small in the JVM and in Python.
+    """
     rows = df.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).cast("string").alias("text"),
@@ -335,7 +338,7 @@ def chunks(df: DataFrame, id_col: str, text_col: str, held: tuple[int, int]) ->
                     "valid": [ids.is_valid().to_numpy(zero_copy_only=False).tobytes()],
                     "learnt": [learnt.tobytes()],
                     "sizes": [sizes.tobytes()],
-                    "data": [raw.tobytes()],
+                    "data": [pa.compress(raw.tobytes(), codec="zstd", asbytes=True)],
                 }
             )
 
@@ -374,8 +377,9 @@ class Chunk:
     def __init__(self, row: dict):
         self.ids, self.valid = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["valid"], bool)
         self.learnt, self.sizes = np.frombuffer(row["learnt"], bool), np.frombuffer(row["sizes"], np.int64)
-        self.data = row["data"]
-        self.raw = np.frombuffer(self.data, np.uint8)
+        size = int(self.sizes.sum())
+        data = pa.decompress(row["data"], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+        self.raw = np.frombuffer(data, np.uint8)
 
 
 def gram_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
