@@ -38,8 +38,8 @@ BLOCK_DAYS: dict[str, int | None] = {"1m": 28, "5m": 140, "30m": 840, "1h": 1680
 
 _BLOCK = "_block"
 _KIND = "_kind"
-BLOCK_COLUMN = _BLOCK
 _OWN, _HALO, _CARRY = 0, 1, 2
+BLOCK_COLUMN, KIND_COLUMN, CARRY_ROW = _BLOCK, _KIND, _CARRY
 
 
 @dataclass(frozen=True)

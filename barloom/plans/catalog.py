@@ -22,6 +22,7 @@ from barloom.functions.bar_columns import (
 from barloom.functions.timegrid import clock_label, session_of
 from barloom.operators import changes, indicators, order_stats, quality, rollup, shaping, stats
 from barloom.operators.comoments import correlations
+from barloom.operators.exact_sums import exact_vwap, with_exact_vwap
 from barloom.plans import run
 from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform, numeric_columns
 from barloom.sources import calendar, series_store, sinks
@@ -608,6 +609,19 @@ def correlation_one_pass(spark, sf_dir):
     return rounded(correlations(metrics, numeric_columns(metrics, exclude=[SYMBOL])))
 
 
+@query
+def exact_totals(spark, sf_dir):
+    """Turnover, volume and VWAP of the ticks of each session, the same however rows are dealt."""
+    dated = ticks(spark, sf_dir).withColumn(SESSION, session_of(TIMESTAMP))
+    return rounded(exact_vwap(dated, price="close", keys=[SYMBOL, SESSION]))
+
+
+@query
+def vwap_exact(spark, sf_dir):
+    """The running VWAP from exact totals of blocks."""
+    return rounded(with_exact_vwap(thirty(spark, sf_dir), **INTRADAY))
+
+
 @query
 def histogram(spark, sf_dir):
     moves = changes.with_returns(thirty(spark, sf_dir), **INTRADAY)

@@ -533,6 +533,12 @@ SELECT symbol, "timestamp", tie AS event_id, {r("price", "close")}, {r(of_ticks,
         "1m", f"SELECT {ROUNDED_BARS}, {r(f'quantile_cont(volume, 0.25) OVER {frame(700)}', 'quantile_700')} FROM bars"
     )
     sql["vwap_series"] = with_bars("30m", f"SELECT {ROUNDED_BARS}, {r(vwap(), 'vwap')} FROM bars")
+    sql["vwap_exact"] = sql["vwap_series"]
+    traded = "sum(volume) FILTER (price IS NOT NULL)"
+    sql["exact_totals"] = f"""WITH {TICKS}
+SELECT symbol, CAST("timestamp" AS DATE) AS session_date, {r("fsum(price * volume)", "turnover")},
+       {r(traded, "traded")}, {r(f"fsum(price * volume) / nullif({traded}, 0)", "vwap")}
+FROM ticks GROUP BY ALL"""
     by_day = vwap('symbol, CAST("timestamp" AS DATE)')
     sql["vwap_session"] = with_bars("30m", f"SELECT {ROUNDED_BARS}, {r(by_day, 'vwap')} FROM bars")
     sql["vwap_brand"] = with_bars(
