@@ -77,15 +77,16 @@ def unwrapped_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns({k: F.col(quoted(k))["key"] for k in keys})
 
 
-def _binned(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    named = rows.select(*keys, F.col(value).alias("_value"))
+def _binned(rows: DataFrame, keys: Sequence[str], value: str, copies: str | None) -> DataFrame:
+    counted = F.lit(1) if copies is None else F.col(copies)
+    named = rows.select(*keys, F.col(value).alias("_value"), counted.alias("_n"))
     return named.where("_value IS NOT NULL AND NOT isnan(_value)").withColumn(
         _BIN, order_bin("_value")
     )
 
 
 def _values_and_offsets(
-    rows: DataFrame, keys: Sequence[str], value: str
+    rows: DataFrame, keys: Sequence[str], value: str, copies: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Distinct values with their copies, and each bin's first rank (from 0) and size.
 
@@ -93,9 +94,9 @@ def _values_and_offsets(
     """
     by = [*keys, _BIN]
     collapsed = (
-        _binned(rows, keys, value)
+        _binned(rows, keys, value, copies)
         .groupBy(*by, "_value")
-        .agg(F.count(F.lit(1)).alias("_copies"))
+        .agg(F.sum("_n").alias("_copies"))
     )
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy(_BIN).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -142,8 +143,12 @@ def wrapped_quantiles(
     *,
     keys: Sequence[str],
     value: str,
+    copies: str | None = None,
 ) -> DataFrame:
-    """:func:`exact_quantiles` of rows whose keys are not null, e.g. :func:`wrapped_keys`."""
+    """:func:`exact_quantiles` of rows whose keys are not null, e.g. :func:`wrapped_keys`.
+
+    ``copies`` names a column that says for how many values a row stands.
+    """
     position = {
         name: F.lit(float(q)) * (F.col("_total") - 1) for name, q in quantiles.items()
     }
@@ -156,7 +161,7 @@ def wrapped_quantiles(
             ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_size"))
         )
     )
-    collapsed, offsets = _values_and_offsets(rows, keys, value)
+    collapsed, offsets = _values_and_offsets(rows, keys, value, copies)
     wanted = offsets.withColumn("_ranks", inside).where(F.size("_ranks") > 0).drop("_size")
     candidates = collapsed.join(wanted, [*keys, _BIN], "inner")
     picked = (

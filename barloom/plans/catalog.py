@@ -27,6 +27,7 @@ from barloom.plans import run
 from barloom.schema import OHLCV, SESSION, SYMBOL, TIMEFRAME, TIMESTAMP, conform, numeric_columns
 from barloom.sources import calendar, series_store, sinks
 from barloom.sources.published import PublishedRuns
+from barloom.sources.summaries import SessionSummaries
 from barloom.sources.ticks import as_ticks, read_bars
 from barloom.streaming import bars as streaming
 from barloom.streaming.corrections import CorrectedBars, correct_available
@@ -722,6 +723,57 @@ def metrics_stored_week(spark, sf_dir):
     return rounded(series_store.standard_metrics_of(spark, name, "5m", **range_of_days))
 
 
+SOME_DAYS = (date(2024, 1, 10), date(2024, 1, 18))
+_SUMMARIES: dict[tuple[str, str, str], SessionSummaries] = {}
+
+
+def summaries(spark: SparkSession, sf_dir: str, timeframe: str) -> SessionSummaries:
+    """Summaries of the standard metrics by session, stored once for all queries of an application."""
+    key = (spark.sparkContext.applicationId, sf_dir, timeframe)
+    if key in _SUMMARIES and sinks.exists(spark, f"{_SUMMARIES[key].path}/moments/_SUCCESS"):
+        return _SUMMARIES[key]
+    columns = (*OHLCV, "vwap", "rsi") if timeframe == "5m" else OHLCV
+    made = SessionSummaries(sinks.shared_folder(spark, "summaries"), timeframe, columns)
+    rows = bars(spark, sf_dir, timeframe)
+    made.store(indicators.standard_metrics(rows, "5m", **INTRADAY) if timeframe == "5m" else rows)
+    _SUMMARIES[key] = made
+    return made
+
+
+@query
+def summary_describe(spark, sf_dir):
+    """Prices, volume and returns of eight days described from summaries of their sessions."""
+    return rounded(summaries(spark, sf_dir, "30m").describe(spark, *SOME_DAYS))
+
+
+@query
+def summary_describe_all(spark, sf_dir):
+    """The same of all sessions."""
+    return rounded(summaries(spark, sf_dir, "30m").describe(spark))
+
+
+@query
+def summary_risk(spark, sf_dir):
+    return rounded(summaries(spark, sf_dir, "30m").risk(spark, *SOME_DAYS))
+
+
+@query
+def summary_bars(spark, sf_dir):
+    return rounded(summaries(spark, sf_dir, "30m").bar_stats(spark, *SOME_DAYS))
+
+
+@query
+def summary_completeness(spark, sf_dir):
+    return rounded(summaries(spark, sf_dir, "1m").completeness(spark, *SOME_DAYS))
+
+
+@query
+def summary_dashboard(spark, sf_dir):
+    """The dashboard of eight days; VWAP and RSI are those of the whole series."""
+    metrics = summaries(spark, sf_dir, "5m")
+    return rounded(summaries(spark, sf_dir, "1m").dashboard(metrics, spark, *SOME_DAYS))
+
+
 _RUNS: dict[tuple[str, str], tuple[str, run.BarRun]] = {}
 
 

@@ -785,6 +785,35 @@ means AS (
   FROM metrics GROUP BY symbol)
 SELECT * FROM base JOIN means USING (symbol)"""
 
+    days = """"timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-18'"""
+
+    def of_days(body: str, timeframe: str) -> str:
+        some = f"{bars(timeframe, 'all_bars')}, bars AS MATERIALIZED (SELECT * FROM all_bars WHERE {days})"
+        return f"WITH {TICKS}, {some}, {RETURNS} {body}"
+
+    every = [*OHLCV, "returns"]
+    sql["summary_describe"] = of_days(described("moves", every), "30m")
+    sql["summary_describe_all"] = moves(described("moves", every))
+    sql["summary_risk"] = of_days(f"""SELECT symbol, count(returns) AS n_returns,
+       {r("stddev_samp(returns)", "bar_volatility")},
+       {r("stddev_samp(returns) * sqrt(252 * 390)", "annualized_volatility")},
+       {r("min(low) / nullif(max(high), 0) - 1", "range_drawdown")}
+FROM moves GROUP BY symbol""", "30m")
+    sql["summary_bars"] = of_days(f"""SELECT symbol, count(*) AS n_bars, min("timestamp") AS first_bar,
+       max("timestamp") AS last_bar, {r("min(low)", "low")}, {r("max(high)", "high")},
+       CAST(sum(volume) AS BIGINT) AS total_volume, {r("avg(volume)", "mean_volume")}
+FROM bars GROUP BY symbol""", "30m")
+    sql["summary_completeness"] = of_days(complete, "1m")
+    sql["summary_dashboard"] = of_days(f""", {bars("5m", "five")}, {standard("5m", "five")},
+base AS (
+  SELECT symbol, count(*) AS n_bars, {r("min(low)", "low")}, {r("max(high)", "high")},
+         CAST(sum(volume) AS BIGINT) AS total_volume,
+         {r("stddev_samp(returns) * 100", "volatility_pct")} FROM moves GROUP BY symbol),
+means AS (
+  SELECT symbol, {r("avg(vwap)", "mean_vwap")}, {r("avg(rsi)", "mean_rsi")}
+  FROM metrics WHERE {days} GROUP BY symbol)
+SELECT * FROM base JOIN means USING (symbol)""", "1m")
+
     sql["run_standard"] = run_sql(
         {tf: standard(tf, f"bars_{tf}", f"metrics_{tf}", plain=True) for tf in STANDARD},
         ["ma", "median", *STANDARD_TAIL],
