@@ -126,7 +126,8 @@ def train(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.05, deca
 
     A word is a bag of n-grams, its embedding their mean. Words take the share of toxic
     texts among those that hold them, drawn to the common share where these are few, and
-    weigh as the root of their number. The logit of a text is a logistic fit to those of
+    weigh as the root of their number. Words of a single text are not trained on, however
+    many texts there are; without others every text gets the same score. The logit of a text is a logistic fit to those of
     its two most toxic words, on the same rows.
     """
 
@@ -136,16 +137,20 @@ def train(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.05, deca
     labels = np.array([label for _, label in rows], float)
     # Words are counted by their hashes; only those that are kept are held as bytes.
     hashes = [np.fromiter(map(hash, words_in(text)), np.int64) for text, _ in rows]
+    share = min(max(labels.mean() if len(labels) else 0.0, 0.01), 0.99)
+    plain = Model(np.zeros(BUCKETS, np.float32), np.zeros(2), np.zeros(2), float(np.log(share / (1 - share))))
     if not sum(map(len, hashes)) or labels.min(initial=1) == labels.max(initial=0):
-        share = min(max(labels.mean() if len(labels) else 0.0, 0.01), 0.99)
-        return Model(np.zeros(BUCKETS, np.float32), np.zeros(2), np.zeros(2), float(np.log(share / (1 - share))))
+        return plain
 
     size = [len(h) for h in hashes]
     number, owner = np.unique(np.concatenate(hashes), return_inverse=True)
     del hashes
     n = np.bincount(owner).astype(float)
     toxic = np.bincount(owner, weights=np.repeat(labels, size))
-    common = n >= (2 if len(rows) >= 1000 else 1)
+    # A word of one text says no more than the label of that text.
+    common = n >= 2
+    if not common.any():
+        return plain
     prior = labels.mean()
     n, toxic = n[common], toxic[common]
     share = (toxic + SHRINK * prior) / (n + SHRINK)
@@ -229,7 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model from at most `sample` labelled rows that are not held out, chosen by a hash of the id.
 
     Rows without an id, a label of 0 or 1, or a text of at most SAMPLE_CHARS characters
-    are not trained on. Without labels of both kinds every text gets the same score.
+    are not trained on. Where ids repeat, at most `2 * sample` rows are, in the order of id
+    and text. Without labels of both kinds every text gets the same score.
     """
     wanted = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
     wanted = wanted.groupBy(id_col).agg(F.max(label_col).alias("label")).withColumnRenamed(id_col, "id")

@@ -60,6 +60,20 @@ def test_unseen_misspellings(rows):
     assert np.median(spelt) > max(plain)
 
 
+@pytest.mark.parametrize("n", [60, 999, 1001])
+def test_words_of_one_text_are_not_trained_on_at_any_size(n):
+    rows = corpus(n, seed=n)
+    single = [(t + f" lonely{i}xyz qqwzx{i}kk" * 2, y) for i, t, y in rows]
+    plain = toxicity.train([(t, y) for _, t, y in rows])
+    assert np.array_equal(toxicity.train(single).gains, plain.gains)
+    assert plain.gains.any()
+
+
+def test_nothing_but_words_of_one_text():
+    model = toxicity.train([("alpha beta", 1), ("gamma delta", 0), (None, 0), ("", 0)])
+    assert not model.gains.any() and model.intercept == pytest.approx(np.log(1 / 3))
+
+
 def test_score_does_not_depend_on_neighbours(rows):
     model = toxicity.train([(t, y) for _, t, y in rows[:200]])
     texts = [t for _, t, _ in rows[:20]] + ["", "?!", "é" * 3, "x" * 3_000_000 + " grumblex snorkvile"]
