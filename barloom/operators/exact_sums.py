@@ -1,7 +1,7 @@
 """Sums of doubles that do not depend on the order of rows: exact, and rounded once.
 
-A value is cut into whole digits on a fixed grid of bands of 16 bits, which loses nothing.
-Digits of one band are added as integers, so partial sums of tasks meet in any order.  Only
+A value is cut into whole digits of 18 bits on a fixed grid, which loses nothing.  Digits of
+one place are added as integers, so partial sums of tasks meet in any order.  Only
 the few totals of a series are put together and rounded, to the double nearest the true sum.
 """
 
@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import inf, nan
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from barloom.operators.indicators import vwap_of
 from barloom.operators.series import (
@@ -24,55 +23,62 @@ from barloom.operators.series import (
 )
 from barloom.schema import KEYS, TIMESTAMP, quoted, require_columns
 
-# Bits of a band, and of each digit after the first: 16 + 3 * 18 hold the 53 bits of a double
-# wherever they begin in a band.  A sum of digits has room for 2^45 rows of one series.
-_BAND, _DIGIT, _DIGITS = 16, 18, 4
-# The band of the least double, and the bits below one down to its last digit.
-_LOWEST = -68
-_BELOW = -_LOWEST * _BAND + (_DIGITS - 1) * _DIGIT
-
-
-def _joined(parts) -> int:
-    """The sum, in units of the last digit, of runs of a band and the totals of its digits."""
-    total = 0
-    for i in range(0, len(parts), _DIGITS + 1):
-        band, *digits = (int(p) for p in parts[i : i + _DIGITS + 1])
-        whole = 0
-        for digit in digits:
-            whole = (whole << _DIGIT) + digit
-        total += whole << (_BAND * (band - _LOWEST))
-    return total
-
-
-def _as_double(total: int) -> float:
-    # Division of integers rounds once, to the nearest.
-    try:
-        return total / (1 << _BELOW)
-    except OverflowError:
-        return inf if total > 0 else -inf
-
-
-@F.pandas_udf(T.DoubleType())
-def _nearest(parts: pd.Series) -> pd.Series:
-    return pd.Series([None if p is None else _as_double(_joined(p)) for p in parts], dtype="float64")
+# Bits of a digit: 4 of them hold the 53 bits of a double wherever they begin in the first.
+# A sum of digits has room for 2^45 rows of one series.
+_BITS, _DIGITS = 18, 4
 
 
 def _digits(j: int) -> list[dict[str, str]]:
     """Columns, step by step, that cut the value ``_x{j}``; null for zero and what is not finite."""
     x, rest = f"_x{j}", f"_rest{j}"
-    half = f"pow(2.0D, -{_BAND // 2} * _band{j})"
+    half = f"pow(2.0D, -{_BITS // 2} * _band{j})"
     steps = [
-        {f"_band{j}": f"CASE WHEN abs({x}) < double('Infinity') AND {x} <> 0 THEN CAST(floor(log2(abs({x})) / {_BAND}) AS INT) END"},
+        {f"_band{j}": f"CASE WHEN abs({x}) < double('Infinity') AND {x} <> 0 THEN CAST(floor(log2(abs({x})) / {_BITS}) AS INT) END"},
         # In two steps, as the power itself may be out of range.
         {f"{rest}_0": f"{x} * {half} * {half}"},
     ]
     for d in range(_DIGITS):
         steps.append({f"_d{j}_{d}": f"CAST({rest}_{d} AS BIGINT)"})
         if d + 1 < _DIGITS:
-            steps.append({f"{rest}_{d + 1}": f"({rest}_{d} - _d{j}_{d}) * {2.0**_DIGIT!r}D"})
+            steps.append({f"{rest}_{d + 1}": f"({rest}_{d} - _d{j}_{d}) * {2.0**_BITS!r}D"})
     return steps
 
 
+def _rounded(j: int) -> list[dict[str, str]]:
+    """Columns, step by step, from sums of digits by place ``_parts{j}`` to the nearest double ``_sum{j}``."""
+    parts, low, cells, signed, digits, top = (f"_{n}{j}" for n in ("parts", "low", "cells", "signed", "digits", "top"))
+
+    def carried(values: str) -> str:
+        empty = "struct(0L AS carry, CAST(array() AS ARRAY<BIGINT>) AS ds)"
+        step = f"struct(shiftright(a.carry + d, {_BITS}) AS carry, array_append(a.ds, (a.carry + d) & {2**_BITS - 1}L) AS ds)"
+        return f"aggregate({values}, {empty}, (a, d) -> {step})"
+
+    def digit(below: int) -> str:
+        return f"coalesce(get({digits}, {top} - {below}), 0L)"
+
+    lost = f"array_max(transform({digits}, (d, i) -> IF(i < {top} - 3 AND d <> 0, 1L, 0L)))"
+    power = f"{_BITS} * ({low} + {top} - 3)"
+    size = f"_size{j} * pow(2.0D, floor({power} / 2)) * pow(2.0D, {power} - floor({power} / 2))"
+    return [
+        {low: f"array_min(transform({parts}, x -> x.place))"},
+        # Four places more than the last, for what is carried up.
+        {
+            cells: f"transform(sequence({low}, array_max(transform({parts}, x -> x.place)) + 4),"
+            f" q -> aggregate(filter({parts}, x -> x.place = q), 0L, (a, x) -> a + x.d))"
+        },
+        {signed: carried(cells)},
+        {digits: f"IF({signed}.carry < 0, {carried(f'transform({cells}, d -> -d)')}.ds, {signed}.ds)"},
+        {top: f"array_max(transform({digits}, (d, i) -> IF(d <> 0, i, -1)))"},
+        # The highest four digits as two exact halves, the last bit set if anything lies below:
+        # over 54 bits, so that the one addition rounds as the whole would.
+        {
+            f"_size{j}": f"CAST({digit(0)} * {2**_BITS}L + {digit(1)} AS DOUBLE) * {4.0**_BITS!r}D"
+            f" + CAST(({digit(2)} * {2**_BITS}L + {digit(3)}) | {lost} AS DOUBLE)"
+        },
+        {f"_sum{j}": f"CASE WHEN coalesce({top}, -1) < 0 THEN 0.0D WHEN {signed}.carry < 0 THEN -({size}) ELSE {size} END"},
+    ]
+
+
 def exact_sums(df: DataFrame, sums: Mapping[str, str], *, keys: Sequence[str] = KEYS) -> DataFrame:
     """The keys and, for each name, the sum of its SQL expression as the nearest double.
 
@@ -101,10 +107,10 @@ def exact_sums(df: DataFrame, sums: Mapping[str, str], *, keys: Sequence[str] =
         *[F.sum(f"_d{j}_{d}").alias(f"_d{j}_{d}") for j in each for d in range(_DIGITS)],
         *[F.expr(sql.format(j=j)).alias(f"_{name}{j}") for j in each for name, sql in counted.items()],
     )
-    digits = {j: ", ".join(f"_d{j}_{d}" for d in range(_DIGITS)) for j in each}
+    placed = {j: ", ".join(f"struct(_band{j} - {d} AS place, _d{j}_{d} AS d)" for d in range(_DIGITS)) for j in each}
     whole = parts.groupBy(*by).agg(
         *[
-            F.expr(f"flatten(collect_list(CASE WHEN _band{j} IS NOT NULL THEN array(CAST(_band{j} AS BIGINT), {digits[j]}) END))").alias(f"_parts{j}")
+            F.expr(f"flatten(collect_list(CASE WHEN _band{j} IS NOT NULL THEN array({placed[j]}) END))").alias(f"_parts{j}")
             for j in each
         ],
         *[F.sum(f"_{name}{j}").alias(f"_{name}{j}") for j in each for name in counted],
@@ -120,9 +126,9 @@ def exact_sums(df: DataFrame, sums: Mapping[str, str], *, keys: Sequence[str] =
             .otherwise(F.col(f"_sum{j}"))
         )
 
-    # Apart, so that conditions do not evaluate the function more than once a row.
-    summed = whole.withColumns({f"_sum{j}": _nearest(f"_parts{j}") for j in each})
-    return summed.select(
+    for steps in zip(*[_rounded(j) for j in each], strict=True):
+        whole = whole.selectExpr("*", *[f"{sql} AS {name}" for step in steps for name, sql in step.items()])
+    return whole.select(
         *[F.col(n).alias(k) for n, k in zip(by, keys, strict=True)],
         *[total(j).alias(name) for j, name in enumerate(sums)],
     )
